@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from normwatch.operators.joins import fits_broadcast, spread_join
+from normwatch.operators.joins import UNBOUNDED, fits_broadcast, spread_join
 from normwatch.operators.triples import RDF_TYPE
 
 
@@ -52,8 +52,11 @@ def _restricted(triples: DataFrame, subjects: DataFrame | None) -> DataFrame:
 
 
 def _rare(subjects: DataFrame) -> DataFrame | None:
-    """The subjects if few enough to be sent to every task, else no restriction."""
-    return subjects if fits_broadcast(subjects) else None
+    """The subjects if few enough to be sent to every task, else no restriction.
+
+    They are measured with their repetitions: that needs no shuffle and is an upper bound.
+    """
+    return subjects.distinct() if fits_broadcast(subjects) else None
 
 
 def frame(triples: DataFrame, spec: Frame, subjects: DataFrame | None = None) -> DataFrame:
@@ -64,7 +67,7 @@ def frame(triples: DataFrame, spec: Frame, subjects: DataFrame | None = None) ->
     """
     if spec.type_ is not None and subjects is None:
         is_type = (F.col("p") == RDF_TYPE) & (F.col("o") == spec.type_)
-        subjects = _rare(triples.where(is_type).select("s").distinct())
+        subjects = _rare(triples.where(is_type).select("s"))
 
     plain = {n: f for n, f in spec.fields.items() if f.embed is None}
     embedded = {n: f for n, f in spec.fields.items() if f.embed is not None}
@@ -77,13 +80,18 @@ def frame(triples: DataFrame, spec: Frame, subjects: DataFrame | None = None) ->
         links = links.select(F.col("s").alias("link_s"), F.col("o").alias("link_o"))
         inner = None
         if subjects is not None:
-            inner = _rare(links.select(F.col("link_o").alias("s")).distinct())
+            inner = _rare(links.select(F.col("link_o").alias("s")))
         nodes = frame(triples, spec_field.embed, inner)
         nodes = nodes.select(F.struct(*nodes.columns).alias(f"node_{name}"))
         nodes = nodes.withColumn(f"key_{name}", F.col(f"node_{name}._id"))
-        carried = spread_join(links, nodes, [("link_o", f"key_{name}")]).select(
-            F.col("link_s").alias("s"), f"node_{name}"
-        )
+        if inner is not None:
+            # Few links, so nothing to spread; the planner knows the small side at run time.
+            carried = links.join(nodes, F.col("link_o") == F.col(f"key_{name}"))
+        else:
+            carried = spread_join(
+                links, nodes, [("link_o", f"key_{name}")], right_bytes=UNBOUNDED
+            )
+        carried = carried.select(F.col("link_s").alias("s"), f"node_{name}")
         rows = rows.unionByName(carried, allowMissingColumns=True)
 
     def values(f: Field) -> Column:

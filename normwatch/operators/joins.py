@@ -4,25 +4,29 @@
 
 1. it fits the bound: broadcast it, the left side is not shuffled at all;
 2. it does not: shuffle both sides on the key.  Keys that hold many left rows (and NULL keys of an
-   outer join) are salted, the matching right rows are copied once per salt.  All other keys are
-   shuffled as they are.
+   outer join) are spread over several salts, the matching right rows are copied once per salt.
+   All other keys are shuffled as they are.
 
 Either way every pair is produced exactly once; only the placement of the rows differs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEY_ROWS = 1_000_000
+# Left rows of one key that one task should get at most.
+HOT_KEY_ROWS = 5_000_000
 HOT_KEYS = 1_000
-SALTS = 64
+_TRACKED_KEYS = 20_000
+# For a right side known to be as large as the data: it is not worth measuring.
+UNBOUNDED = sys.maxsize
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -33,13 +37,18 @@ def measured_bytes(df: DataFrame) -> int:
         if isinstance(field.dataType, T.StringType):
             return F.coalesce(F.octet_length(col), F.lit(0)) + 16
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.coalesce(F.octet_length(F.to_json(col)), F.lit(0)) * 2 + 32
+            return F.coalesce(F.octet_length(F.to_json(F.array(col))), F.lit(0)) * 2 + 32
         return F.lit(16)
 
     row = reduce(lambda a, b: a + b, [width(f) for f in df.schema], F.lit(16))
     return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
+def driver_bytes(rows: Iterable[tuple]) -> int:
+    """Size of a table made from rows that are in the driver already."""
+    return sum(16 + sum(16 + len(str(value)) for value in row) for row in rows)
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether the measured size of ``df`` lies within the bound for a broadcast."""
     if df.isStreaming:
@@ -47,15 +56,18 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> list[Row]:
-    """The keys with at least ``min_rows`` rows, at most ``HOT_KEYS`` of them, largest first.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> dict[int, int]:
+    """Hashes of the keys with at least ``min_rows`` rows, with their (estimated) row counts.
 
-    Counts are combined before the shuffle, and a key left out of the list holds no more than
-    ``1 / HOT_KEYS`` of the rows, so the list may be kept in the driver.
+    A frequent-items sketch finds them in one pass without a shuffle by key.  At most ``HOT_KEYS``
+    are returned; a key left out holds less than that fraction of the rows.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_"))
-    heavy = counts.where(F.col("rows_") >= (HOT_KEY_ROWS if min_rows is None else min_rows))
-    return heavy.orderBy(F.desc("rows_")).limit(HOT_KEYS).select(*keys).collect()
+    top = F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {_TRACKED_KEYS})")
+    present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    hashed = df.where(present).select(F.xxhash64(*keys).alias("key_hash"))
+    found = hashed.agg(top.alias("top")).first()["top"] or []
+    least = HOT_KEY_ROWS if min_rows is None else min_rows
+    return {item["item"]: item["count"] for item in found if item["count"] >= least}
 
 
 def spread_join(
@@ -64,68 +76,79 @@ def spread_join(
     on: Sequence[tuple[str, str]],
     how: str = "inner",
     where: Column | None = None,
+    right_bytes: int | None = None,
     broadcast_bytes: int | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Join on equal columns ``on`` (pairs left, right) and an optional residual condition.
 
     Column names of the two sides must be disjoint.  ``how`` is inner, left, left_semi or
-    left_anti.
+    left_anti.  ``right_bytes`` is given where the size of the right side is known; else it is
+    measured.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     match = [F.col(a) == F.col(b) for a, b in on]
     if where is not None:
         match.append(where)
-    if fits_broadcast(right, broadcast_bytes):
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if right_bytes is None:
+        small = fits_broadcast(right, limit)
+    else:
+        small = right_bytes <= limit
+    if small:
         return left.join(F.broadcast(right), reduce(Column.__and__, match), how)
     if left.isStreaming or right.isStreaming:
         return left.join(right, reduce(Column.__and__, match), how)
 
     left_keys = [a for a, _ in on]
-    right_keys = [b for _, b in on]
-    hot = hot_keys(left, left_keys, hot_rows)
-    if not hot:
+    least = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    tiers = _tiers(left, hot_keys(left, left_keys, least), least)
+    null_salts = _most_salts(left) if how in ("left", "left_anti") else 1
+    if not tiers and null_salts == 1:
         return left.join(right, reduce(Column.__and__, match), how)
 
-    present = [row for row in hot if all(value is not None for value in row)]
-    left_salted = _with_left_salt(left, left_keys, present)
-    right_salted = _with_right_salts(right, right_keys, left, left_keys, present)
+    # Both sides must agree on the hash, so the right keys are hashed in the type of the left.
+    right_hash = F.xxhash64(*[F.col(b).cast(left.schema[a].dataType) for a, b in on])
+    salted = left.withColumn("salt_l", _left_salt(left, left_keys, tiers, null_salts))
+    if tiers:
+        salts = F.sequence(F.lit(0), _salts_of(right_hash, tiers) - 1)
+        copies = right.select("*", F.explode(salts).alias("salt_r"))
+    else:
+        copies = right.withColumn("salt_r", F.lit(0))
     match.append(F.col("salt_l") == F.col("salt_r"))
-    joined = left_salted.join(right_salted, reduce(Column.__and__, match), how)
-    return joined.drop("salt_l", "salt_r")
+    return salted.join(copies, reduce(Column.__and__, match), how).drop("salt_l", "salt_r")
 
 
-def _key_table(source: DataFrame, keys: Sequence[str], rows: list[Row], tag: str) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(f"{tag}{i}", source.schema[k].dataType) for i, k in enumerate(keys)]
-    )
-    return source.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+def _most_salts(df: DataFrame) -> int:
+    # More salts than shuffle partitions would copy rows without spreading them further.
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _marked(df: DataFrame, keys: Sequence[str], table: DataFrame) -> DataFrame:
-    # At most HOT_KEYS rows, so the hint is safe.
-    same = [F.col(k) == F.col(h) for k, h in zip(keys, table.columns)]
-    return df.join(F.broadcast(table), reduce(Column.__and__, same), "left")
+def _tiers(df: DataFrame, hot: Mapping[int, int], least: int) -> dict[int, list[int]]:
+    """Hot keys by the number of salts they need, in powers of four."""
+    most = _most_salts(df)
+    tiers: dict[int, list[int]] = {}
+    for key, rows in hot.items():
+        salts = 4
+        while salts * least < rows:
+            salts *= 4
+        tiers.setdefault(min(salts, most), []).append(key)
+    return tiers
 
 
-def _with_left_salt(left: DataFrame, keys: Sequence[str], hot: list[Row]) -> DataFrame:
-    table = _key_table(left, keys, hot, "hot_l")
-    is_hot = F.col(table.columns[0]).isNotNull()
-    has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    # The partition number spreads equal copies of a row; a retried task gets the same number.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(SALTS)).cast("int")
-    marked = _marked(left, keys, table)
-    salted = marked.withColumn("salt_l", F.when(is_hot | has_null, spread).otherwise(F.lit(0)))
-    return salted.drop(*table.columns)
+def _salts_of(key_hash: Column, tiers: Mapping[int, list[int]]) -> Column:
+    picks = [F.when(key_hash.isin(keys), F.lit(salts)) for salts, keys in sorted(tiers.items())]
+    return F.coalesce(*picks, F.lit(1))
 
 
-def _with_right_salts(
-    right: DataFrame, keys: Sequence[str], left: DataFrame, left_keys: Sequence[str], hot: list[Row]
-) -> DataFrame:
-    table = _key_table(left, left_keys, hot, "hot_r")
-    is_hot = F.col(table.columns[0]).isNotNull()
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    marked = _marked(right, keys, table)
-    copies = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))).alias("salt_r")
-    return marked.select(*right.columns, copies)
+def _left_salt(
+    left: DataFrame, keys: Sequence[str], tiers: Mapping[int, list[int]], null_salts: int
+) -> Column:
+    salts = _salts_of(F.xxhash64(*keys), tiers)
+    if null_salts > 1:
+        has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        salts = F.when(has_null, F.lit(null_salts)).otherwise(salts)
+    # The partition number spreads equal copies of a row; a retried task gets the same number.
+    row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
+    return F.when(salts > 1, F.pmod(row_hash, salts).cast("int")).otherwise(F.lit(0))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normwatch.functions import expand_iri, instant, now_or, rule_alarm_key, to_decimal
-from normwatch.operators.joins import spread_join
+from normwatch.operators.joins import driver_bytes, spread_join
 
 KINDS = ("match", "has_value", "decimal", "min_exclusive", "less_than", "none")
 ANY_PROPERTY = "*"
@@ -96,7 +96,7 @@ def _pick(choice: Column, names: Sequence[str], value_of) -> Column:
     return picks[0] if len(picks) == 1 else F.coalesce(*picks)
 
 
-def _violation(rules: Sequence[Rule], fields: Mapping[str, str], schema) -> Column:
+def _violation(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
     """Condition over a joined observation and rule; only branches that occur are built."""
     names = sorted({r.field for r in rules})
     others = sorted({r.other for r in rules if r.other})
@@ -172,8 +172,14 @@ def validate(
         # Rows no rule looks at are dropped by the scan.
         seen = observations.where(key.isin(sorted(targets))) if targets else observations
         rows = seen.withColumn("rule_key", key)
-    condition = _violation(checked, fields, observations.schema) if checked else F.lit(False)
-    joined = spread_join(rows, rule_table(spark, checked), [("rule_key", "target")], where=condition)
+    condition = _violation(checked, fields) if checked else F.lit(False)
+    joined = spread_join(
+        rows,
+        rule_table(spark, checked),
+        [("rule_key", "target")],
+        where=condition,
+        right_bytes=driver_bytes(astuple(rule) for rule in checked),
+    )
     return joined.select(
         F.col("_id").alias("focusNode"),
         F.col("severity").alias("resultSeverity"),

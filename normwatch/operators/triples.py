@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from normwatch.functions.iris import prefix_of, rest_of
-from normwatch.operators.joins import spread_join
+from normwatch.operators.joins import UNBOUNDED, spread_join
 from normwatch.sources.context import ID, PLAIN, Context
 
 RDF_TYPE = "rdf:type"
@@ -163,10 +163,12 @@ def subjects_of(triples: DataFrame, predicate: str, value: str | None = None) ->
     return triples.where(wanted).select("s").distinct()
 
 
-def path_values(triples: DataFrame, path: Sequence[str], **spread) -> DataFrame:
+def path_values(triples: DataFrame, path: Sequence[str]) -> DataFrame:
     """``(s, o, o_kind, datatype)`` reached from each subject along a path of predicates.
 
-    Only triples of the predicates on the path take part.
+    Only triples of the predicates on the path take part.  Both sides of each step are as large as
+    the graph, so they are not measured; a side that turns out small at run time is broadcast by
+    the adaptive planner.
     """
 
     def step(predicate: str) -> DataFrame:
@@ -176,9 +178,8 @@ def path_values(triples: DataFrame, path: Sequence[str], **spread) -> DataFrame:
     for predicate in path[1:]:
         start = reached.where(F.col("o_kind") != "literal").select("s", F.col("o").alias("via"))
         onward = step(predicate).withColumnRenamed("s", "via_s")
-        reached = spread_join(start, onward, [("via", "via_s")], **spread).select(
-            "s", "o", "o_kind", "datatype"
-        )
+        joined = spread_join(start, onward, [("via", "via_s")], right_bytes=UNBOUNDED)
+        reached = joined.select("s", "o", "o_kind", "datatype")
     return reached
 
 

@@ -111,12 +111,18 @@ def q03_json_text_records(spark, sf):
 
 @query
 def q04_envelope_unwrap(spark, sf):
-    # One document per system and day, each holding its observations, as such files arrive.
-    rows = tv.observations(spark, sf)
-    document = F.collect_list(F.struct("_id", "_type", "observedProperty")).alias("@graph")
-    day = F.substring("resultTime", 1, 10).alias("day")
-    documents = rows.groupBy("hasFeatureOfInterest", day).agg(document)
-    return unwrap_envelope(documents)
+    # One JSON document per event, holding an observation and the system it is about.
+    nothing = F.lit(None).cast("string")
+    observation = F.struct("_id", "_type")
+    system = F.struct(
+        F.col("hasFeatureOfInterest").alias("_id"), F.lit("ssn:System").alias("_type")
+    )
+    document = F.struct(nothing.alias("@context"), F.array(observation, system).alias("@graph"))
+    texts = tv.observations(spark, sf).select(F.to_json(document).alias("text"))
+    record = schemas.T.StructType(
+        [schemas.T.StructField(name, schemas.T.StringType()) for name in ("_id", "_type")]
+    )
+    return unwrap_envelope(from_json_text(texts, "text", schemas.envelope(record)))
 
 
 def _written_alarms(spark, sf, shape):

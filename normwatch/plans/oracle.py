@@ -27,7 +27,7 @@ obs AS (
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
            || CASE event_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+02:00' ELSE '-05:00' END AS t,
          CAST(ts AS DATE) AS datum,
-         epoch_us(ts) - CASE event_id % 3 WHEN 1 THEN 7200 WHEN 2 THEN -18000 ELSE 0 END
+         epoch_us(ts) - CASE event_id % 3 WHEN 1 THEN 7200 WHEN 2 THEN -18000 ELSE 0 END::BIGINT
            * 1000000 AS micros,
          CAST(user_id AS DOUBLE) AS ceiling
   FROM events)"""
@@ -219,7 +219,8 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
     ),
     "q04_envelope_unwrap": f"""
-WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type, prop AS "observedProperty" FROM obs""",
+WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type FROM obs
+UNION ALL SELECT foi, 'ssn:System' FROM obs""",
     "q05_parquet_by_date": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
     "q06_json_by_date": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q07_nested_select": f"WITH {OBS} SELECT {_FLAT} FROM obs",
