@@ -1,19 +1,19 @@
 """Framing: triples regrouped to one nested record per subject.
 
-The innermost records are grouped first; each is then carried along the triple that links to it,
-so that the outer records need one grouping.  Where the framed type is rare, its subjects are
-looked up first and only their triples go on.
+Triples of other predicates are dropped first.  One grouping by subject then serves the outer and
+the embedded records alike; the type is checked on the grouped records, and embedded records are
+joined to the few columns of the outer ones that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from normwatch.operators.joins import UNBOUNDED, fits_broadcast, spread_join
+from normwatch.operators.joins import UNBOUNDED, spread_join
 from normwatch.operators.triples import RDF_TYPE
 
 
@@ -44,80 +44,88 @@ def _one(values: Column, name: str) -> Column:
     return F.when(F.size(values) > 1, several).otherwise(F.get(values, F.lit(0)))
 
 
-def _restricted(triples: DataFrame, subjects: DataFrame | None) -> DataFrame:
-    if subjects is None:
-        return triples
-    wanted = subjects.select(F.col("s").alias("wanted_s"))
-    return triples.join(F.broadcast(wanted), F.col("s") == F.col("wanted_s"), "left_semi")
+def _leaves(spec: Frame) -> Iterator[tuple[str, str | None]]:
+    """``(predicate, kind)`` of every field at every level."""
+    yield RDF_TYPE, None
+    for item in spec.fields.values():
+        yield item.predicate, item.kind
+        if item.embed is not None:
+            yield from _leaves(item.embed)
 
 
-def _rare(subjects: DataFrame) -> DataFrame | None:
-    """The subjects if few enough to be sent to every task, else no restriction.
+def _grouped(triples: DataFrame, leaves: list[tuple[str, str | None]]) -> DataFrame:
+    """One row per subject with a set of values per leaf, in columns ``v0``, ``v1``, ..."""
+
+    def wanted(predicate: str, kind: str | None) -> Column:
+        match = F.col("p") == predicate
+        return match if kind is None else match & (F.col("o_kind") == kind)
+
+    sets = [
+        F.array_sort(F.collect_set(F.when(wanted(*leaf), F.col("o")))).alias(f"v{i}")
+        for i, leaf in enumerate(leaves)
+    ]
+    rows = triples.where(F.col("p").isin(sorted({predicate for predicate, _ in leaves})))
+    return rows.groupBy("s").agg(*sets)
 
-    They are measured with their repetitions: that needs no shuffle and is an upper bound.
-    """
-    return subjects.distinct() if fits_broadcast(subjects) else None
 
+def _records(grouped: DataFrame, leaves: list[tuple[str, str | None]], spec: Frame) -> DataFrame:
+    def values(predicate: str, kind: str | None = None) -> str:
+        return f"v{leaves.index((predicate, kind))}"
 
-def frame(triples: DataFrame, spec: Frame, subjects: DataFrame | None = None) -> DataFrame:
+    if spec.type_ is not None:
+        grouped = grouped.where(F.array_contains(values(RDF_TYPE), spec.type_))
+    columns = []
+    for name, item in spec.fields.items():
+        held = F.col(values(item.predicate, item.kind))
+        if not item.many:
+            held = _one(held, name)
+        if item.cast is not None:
+            held = held.cast(f"array<{item.cast}>") if item.many else held.try_cast(item.cast)
+        columns.append(held.alias(name))
+    type_ = F.col(values(RDF_TYPE)).alias("_type")
+    return grouped.select(F.col("s").alias("_id"), type_, *columns)
+
+
+def _embedded(
+    records: DataFrame, name: str, item: Field, inner: DataFrame, triples: DataFrame
+) -> DataFrame:
+    """Replace the links in column ``name`` by the records they lead to."""
+    node = F.struct(*inner.columns).alias("node")
+    nodes = inner.select(F.col("_id").alias("node_id"), node)
+    each = records
+    if item.many:
+        each = records.withColumn(name, F.explode_outer(name))
+    # Hot links are looked for among the triples, which costs no shuffle.
+    links = triples.where(F.col("p") == item.predicate).select(F.col("o").alias(name))
+    joined = spread_join(
+        each, nodes, [(name, "node_id")], how="left", right_bytes=UNBOUNDED, hot_in=links
+    )
+    if not item.many:
+        return joined.withColumn(name, F.col("node")).select(*records.columns)
+    others = [c for c in records.columns if c not in ("_id", name)]
+    again = joined.groupBy("_id").agg(
+        F.first(F.struct(*others)).alias("others"), F.collect_set("node").alias(name)
+    )
+    return again.select("_id", "others.*", name).select(*records.columns)
+
+
+def frame(triples: DataFrame, spec: Frame) -> DataFrame:
     """One record per subject: ``_id``, ``_type`` (array) and the fields of the frame.
 
     With ``spec.type_`` only subjects of that type are kept.  Subjects that have none of the
     predicates of the frame do not appear.
     """
-    if spec.type_ is not None and subjects is None:
-        is_type = (F.col("p") == RDF_TYPE) & (F.col("o") == spec.type_)
-        subjects = _rare(triples.where(is_type).select("s"))
-
-    plain = {n: f for n, f in spec.fields.items() if f.embed is None}
-    embedded = {n: f for n, f in spec.fields.items() if f.embed is not None}
-    predicates = sorted({RDF_TYPE, *(f.predicate for f in plain.values())})
-    rows = _restricted(triples.where(F.col("p").isin(predicates)), subjects)
-    rows = rows.select("s", "p", "o", "o_kind")
-
-    for name, spec_field in embedded.items():
-        links = _restricted(triples.where(F.col("p") == spec_field.predicate), subjects)
-        links = links.select(F.col("s").alias("link_s"), F.col("o").alias("link_o"))
-        inner = None
-        if subjects is not None:
-            inner = _rare(links.select(F.col("link_o").alias("s")))
-        nodes = frame(triples, spec_field.embed, inner)
-        nodes = nodes.select(F.struct(*nodes.columns).alias(f"node_{name}"))
-        nodes = nodes.withColumn(f"key_{name}", F.col(f"node_{name}._id"))
-        if inner is not None:
-            # Few links, so nothing to spread; the planner knows the small side at run time.
-            carried = links.join(nodes, F.col("link_o") == F.col(f"key_{name}"))
-        else:
-            carried = spread_join(
-                links, nodes, [("link_o", f"key_{name}")], right_bytes=UNBOUNDED
-            )
-        carried = carried.select(F.col("link_s").alias("s"), f"node_{name}")
-        rows = rows.unionByName(carried, allowMissingColumns=True)
-
-    def values(f: Field) -> Column:
-        wanted = F.col("p") == f.predicate
-        if f.kind is not None:
-            wanted = wanted & (F.col("o_kind") == f.kind)
-        return F.array_sort(F.collect_set(F.when(wanted, F.col("o"))))
-
-    sets = [values(Field(RDF_TYPE)).alias("_type")]
-    sets += [values(f).alias(n) for n, f in plain.items()]
-    sets += [F.collect_set(f"node_{n}").alias(n) for n in embedded]
-    grouped = rows.groupBy(F.col("s").alias("_id")).agg(*sets)
-    if spec.type_ is not None:
-        grouped = grouped.where(F.array_contains("_type", spec.type_))
-
-    def shaped(name: str, f: Field) -> Column:
-        value = F.col(name)
-        if f.embed is not None:
-            return value if f.many else _one(value, name)
-        if f.many:
-            return value if f.cast is None else value.cast(f"array<{f.cast}>")
-        single = _one(value, name)
-        return single if f.cast is None else single.try_cast(f.cast)
-
-    fields = [shaped(n, f).alias(n) for n, f in spec.fields.items()]
-    return grouped.select("_id", "_type", *fields)
+    leaves = sorted(set(_leaves(spec)), key=str)
+    grouped = _grouped(triples, leaves)
+
+    def built(level: Frame) -> DataFrame:
+        records = _records(grouped, leaves, level)
+        for name, item in level.fields.items():
+            if item.embed is not None:
+                records = _embedded(records, name, item, built(item.embed), triples)
+        return records
+
+    return built(spec)
 
 
 # Observation records as read, and alarms as constructed from rules.

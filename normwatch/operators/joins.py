@@ -79,12 +79,14 @@ def spread_join(
     right_bytes: int | None = None,
     broadcast_bytes: int | None = None,
     hot_rows: int | None = None,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal columns ``on`` (pairs left, right) and an optional residual condition.
 
     Column names of the two sides must be disjoint.  ``how`` is inner, left, left_semi or
     left_anti.  ``right_bytes`` is given where the size of the right side is known; else it is
-    measured.
+    measured.  Hot keys are looked for in ``hot_in`` if given: a cheaper table than ``left`` with
+    the same key columns and about the same distribution.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
@@ -103,7 +105,8 @@ def spread_join(
 
     left_keys = [a for a, _ in on]
     least = HOT_KEY_ROWS if hot_rows is None else hot_rows
-    tiers = _tiers(left, hot_keys(left, left_keys, least), least)
+    found = hot_keys(left if hot_in is None else hot_in, left_keys, least)
+    tiers = _tiers(left, found, least)
     null_salts = _most_salts(left) if how in ("left", "left_anti") else 1
     if not tiers and null_salts == 1:
         return left.join(right, reduce(Column.__and__, match), how)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from normwatch.functions import expand_iri, instant, now_or, rule_alarm_key, to_decimal
 from normwatch.operators.joins import driver_bytes, spread_join
+from normwatch.session import literal_table
 
 KINDS = ("match", "has_value", "decimal", "min_exclusive", "less_than", "none")
 ANY_PROPERTY = "*"
@@ -79,7 +80,7 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
         for rule in rules
         if rule.kind != "none"
     ]
-    return spark.createDataFrame(rows, _RULE_COLUMNS)
+    return literal_table(spark, rows, _RULE_COLUMNS)
 
 
 def rule_targets(observations: DataFrame, observed_property: str | None = None) -> DataFrame:

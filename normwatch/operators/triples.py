@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from normwatch.functions.iris import prefix_of, rest_of
 from normwatch.operators.joins import UNBOUNDED, spread_join
 from normwatch.sources.context import ID, PLAIN, Context
+from normwatch.session import literal_table
 
 RDF_TYPE = "rdf:type"
 _TRIPLE = "array<struct<s:string,p:string,o:string,o_kind:string,datatype:string>>"
@@ -55,9 +56,17 @@ def _term(name: str, context: Context) -> tuple[str, str] | None:
 
 
 def _value_triples(
-    subject: Column, p: str, how: str, value: Column, kind: T.DataType, node: Column, context: Context
+    subject: Column,
+    p: str,
+    how: str,
+    value: Column,
+    kind: T.DataType,
+    node: Column,
+    context: Context,
+    wanted: Collection[str] | None,
 ) -> Column:
     """Array of the triples one field value gives; ``node`` names a nested record without id."""
+    is_wanted = wanted is None or p in wanted
     if isinstance(kind, T.ArrayType):
         return F.flatten(
             F.transform(
@@ -70,6 +79,7 @@ def _value_triples(
                     kind.elementType,
                     F.concat(node, F.lit("-"), i.cast("string")),
                     context,
+                    wanted,
                 ),
             )
         )
@@ -78,7 +88,10 @@ def _value_triples(
         nested = F.coalesce(own, node)
         present = F.when(value.isNotNull(), nested)
         link = _triple(subject, p, present, _reference_kind(nested), None)
-        return F.concat(link, *_record_triples(nested, value, kind, node, context))
+        inner = _record_triples(nested, value, kind, node, context, wanted)
+        return F.concat(*([link] if is_wanted else []), *inner, F.array().cast(_TRIPLE))
+    if not is_wanted:
+        return F.array().cast(_TRIPLE)
     text = value.cast("string")
     if how == ID:
         return _triple(subject, p, text, _reference_kind(text), None)
@@ -87,28 +100,39 @@ def _value_triples(
 
 
 def _record_triples(
-    subject: Column, record: Column | None, schema: T.StructType, node: Column, context: Context
+    subject: Column,
+    record: Column | None,
+    schema: T.StructType,
+    node: Column,
+    context: Context,
+    wanted: Collection[str] | None,
 ) -> list[Column]:
     parts = []
     for field in schema:
         term = _term(field.name, context)
         if field.name == "_id" or term is None:
             continue
+        nested = isinstance(field.dataType, (T.StructType, T.ArrayType))
+        if wanted is not None and term[0] not in wanted and not nested:
+            continue
         value = F.col(f"`{field.name}`") if record is None else record[field.name]
         inner = F.concat(node, F.lit(f"-{field.name}"))
-        triples = _value_triples(subject, *term, value, field.dataType, inner, context)
+        triples = _value_triples(subject, *term, value, field.dataType, inner, context, wanted)
         parts.append(F.coalesce(triples, F.array().cast(_TRIPLE)))
     return parts
 
 
 def to_triples(
-    records: DataFrame, context: Context, node_key: Sequence[str] | None = None
+    records: DataFrame,
+    context: Context,
+    node_key: Sequence[str] | None = None,
+    predicates: Collection[str] | None = None,
 ) -> DataFrame:
     """All triples of nested records; fields the context has no term for are left out.
 
     A nested record without ``_id`` gets a node name made from the values of ``node_key`` (default:
-    all columns) of its record, so it is the same on every run.  Rows are expanded in place, nothing
-    is shuffled.
+    all columns) of its record, so it is the same on every run.  With ``predicates`` only their
+    triples are made.  Rows are expanded in place, nothing is shuffled.
     """
     if node_key is None:
         identity = F.to_json(F.struct("*"))
@@ -117,8 +141,9 @@ def to_triples(
     keyed = records.withColumn("node_key_", F.concat(F.lit("_:"), F.md5(identity.cast("binary"))))
     node = F.col("node_key_")
     subject = F.coalesce(F.col("_id"), node) if "_id" in records.columns else node
-    parts = _record_triples(subject, None, records.schema, node, context)
-    rows = keyed.select(F.explode(F.concat(*parts)).alias("t")).select("t.*")
+    parts = _record_triples(subject, None, records.schema, node, context, predicates)
+    every = F.concat(*parts, F.array().cast(_TRIPLE))
+    rows = keyed.select(F.explode(every).alias("t")).select("t.*")
     return rows.where(F.col("o").isNotNull())
 
 
@@ -132,7 +157,7 @@ def expand_iris(
     The prefix table comes from a configuration held in the driver, so it is broadcast.
     """
     spark = triples.sparkSession
-    table = spark.createDataFrame(list(prefixes.items()), "prefix string, namespace string")
+    table = literal_table(spark, list(prefixes.items()), "prefix string, namespace string")
     out = triples
     for name in columns:
         lookup = F.broadcast(

@@ -80,8 +80,8 @@ def absolute_bands(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_bands(tv.systems(spark, sf), tv.bands(spark), unique_ids=True)
 
 
-def observation_triples(spark: SparkSession, sf: str) -> DataFrame:
-    return to_triples(tv.observations(spark, sf), tv.CONTEXT, tv.NODE_KEY)
+def observation_triples(spark: SparkSession, sf: str, *predicates: str) -> DataFrame:
+    return to_triples(tv.observations(spark, sf), tv.CONTEXT, tv.NODE_KEY, predicates or None)
 
 
 def text_of(array: str) -> F.Column:
@@ -417,7 +417,9 @@ def q31_expanded_triples(spark, sf):
 
 @query
 def q32_path_values(spark, sf):
-    triples = observation_triples(spark, sf)
+    triples = observation_triples(
+        spark, sf, "sosa:observedProperty", "sosa:hasResult", "rdf:value"
+    )
     about = subjects_of(triples, "sosa:observedProperty", "prop:click")
     clicks = triples.join(about, "s", "left_semi")
     onward = triples.where(F.col("p") == "rdf:value")
@@ -428,8 +430,8 @@ def q32_path_values(spark, sf):
 @query
 def q33_union_of_graphs(spark, sf):
     # The same systems and properties are named by many observations.
-    named = observation_triples(spark, sf).where(
-        F.col("p").isin("sosa:hasFeatureOfInterest", "sosa:observedProperty")
+    named = observation_triples(
+        spark, sf, "sosa:hasFeatureOfInterest", "sosa:observedProperty"
     )
     kinds = named.select(
         F.col("o").alias("s"),
@@ -476,12 +478,12 @@ def q36_ntriples(spark, sf):
 @query
 def q37_property_chain(spark, sf):
     predicate, path = next(iter(tv.CHAIN.items()))
-    return cls.property_chain(observation_triples(spark, sf), predicate, path)
+    return cls.property_chain(observation_triples(spark, sf, *path), predicate, path)
 
 
 @query
 def q38_class_members(spark, sf):
-    triples = observation_triples(spark, sf)
+    triples = observation_triples(spark, sf, *tv.CLASS_PREDICATES)
     for predicate, path in tv.CHAIN.items():
         triples = cls.with_chain(triples, predicate, path)
     return cls.class_members(triples, tv.CLASSES)
@@ -489,7 +491,8 @@ def q38_class_members(spark, sf):
 
 @query
 def q39_inferred_types(spark, sf):
-    graphs = [observation_triples(spark, sf), tv.subclass_triples(spark)]
+    data = observation_triples(spark, sf, "rdf:type", *tv.CLASS_PREDICATES)
+    graphs = [data, tv.subclass_triples(spark)]
     return cls.infer_types(graphs, tv.CLASSES, tv.CHAIN)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from normwatch.operators.classes import Conjunct
 from normwatch.operators.rules import FIELDS, Rule
 from normwatch.sources.context import STANDARD_CONTEXT, Context
+from normwatch.session import literal_table
 
 AS_OF = "2025-08-08 13:35:09"
 
@@ -70,6 +71,7 @@ RULE_FIELDS = {**FIELDS, "ceiling": "ceiling"}
 
 CHAIN = {"ex:numericValue": ("sosa:hasResult", "rdf:value")}
 UNIT = "http://qudt.org/schema/qudt/unit"
+CLASS_PREDICATES = ("sosa:observedProperty", "sosa:hasResult", UNIT, "rdf:value")
 CLASSES = {
     "ex:HighClick": [
         Conjunct(("sosa:observedProperty",), "is", "prop:click"),
@@ -181,7 +183,7 @@ def _band_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
         "id string, subject string, property string, minValue double, maxValue double, "
         "operatie string"
     )
-    return spark.createDataFrame(rows, schema).select(
+    return literal_table(spark, rows, schema).select(
         "id",
         "subject",
         F.concat(F.lit("prop:"), F.col("property")).alias("forProperty"),
@@ -281,7 +283,7 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subclass_triples(spark: SparkSession) -> DataFrame:
     """The class hierarchy as triples."""
-    return spark.createDataFrame(SUBCLASS_ROWS, "s string, o string").select(
+    return literal_table(spark, SUBCLASS_ROWS, "s string, o string").select(
         "s",
         F.lit("rdfs:subClassOf").alias("p"),
         "o",

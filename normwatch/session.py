@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,3 +51,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.DecimalType):
+        return pa.decimal128(kind.precision, kind.scale)
+    return {
+        "string": pa.string(),
+        "double": pa.float64(),
+        "bigint": pa.int64(),
+        "int": pa.int32(),
+        "boolean": pa.bool_(),
+    }[kind.simpleString()]
+
+
+def literal_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A table of rows written down in the program.
+
+    Built from Arrow it becomes a local relation, whose size the planner knows, instead of an RDD.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    arrays = [
+        pa.array(column, _arrow_type(field.dataType)) for column, field in zip(columns, schema)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)

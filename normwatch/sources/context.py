@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from normwatch.session import literal_table
+
 ID = "id"
 PLAIN = "plain"
 
@@ -33,12 +35,12 @@ class Context:
     def term_table(self, spark: SparkSession) -> DataFrame:
         """``(term, iri, value_kind)``."""
         rows = [(term, iri, kind) for term, (iri, kind) in self.terms.items()]
-        return spark.createDataFrame(rows, "term string, iri string, value_kind string")
+        return literal_table(spark, rows, "term string, iri string, value_kind string")
 
     def prefix_table(self, spark: SparkSession) -> DataFrame:
         """``(prefix, namespace)``."""
         rows = list(self.prefixes.items())
-        return spark.createDataFrame(rows, "prefix string, namespace string")
+        return literal_table(spark, rows, "prefix string, namespace string")
 
 
 def context_from(definitions: Mapping) -> Context:
