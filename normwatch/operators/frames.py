@@ -1,13 +1,13 @@
 """Framing: triples regrouped to one nested record per subject.
 
-Triples of other predicates are dropped first.  One grouping by subject then serves the outer and
-the embedded records alike; the type is checked on the grouped records, and embedded records are
-joined to the few columns of the outer ones that are left.
+Each level of a frame first drops the triples of other predicates, then groups by subject once.
+The type is checked on the grouped records, and embedded records are joined last, to the records
+that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -44,46 +44,36 @@ def _one(values: Column, name: str) -> Column:
     return F.when(F.size(values) > 1, several).otherwise(F.get(values, F.lit(0)))
 
 
-def _leaves(spec: Frame) -> Iterator[tuple[str, str | None]]:
-    """``(predicate, kind)`` of every field at every level."""
-    yield RDF_TYPE, None
-    for item in spec.fields.values():
-        yield item.predicate, item.kind
-        if item.embed is not None:
-            yield from _leaves(item.embed)
-
-
-def _grouped(triples: DataFrame, leaves: list[tuple[str, str | None]]) -> DataFrame:
-    """One row per subject with a set of values per leaf, in columns ``v0``, ``v1``, ..."""
+def _records(triples: DataFrame, spec: Frame) -> DataFrame:
+    """Records of one level, with links where other records will be embedded."""
+    predicates = sorted({RDF_TYPE, *(item.predicate for item in spec.fields.values())})
+    rows = triples.where(F.col("p").isin(predicates))
+    # One set per subject; copies of a triple are combined before the shuffle.
+    held = F.collect_set(F.struct("p", "o", "o_kind")).alias("held")
+    grouped = rows.groupBy("s").agg(held)
 
-    def wanted(predicate: str, kind: str | None) -> Column:
-        match = F.col("p") == predicate
-        return match if kind is None else match & (F.col("o_kind") == kind)
+    def values(predicate: str, kind: str | None = None) -> Column:
+        def chosen(item: Column) -> Column:
+            match = item["p"] == predicate
+            return match if kind is None else match & (item["o_kind"] == kind)
 
-    sets = [
-        F.array_sort(F.collect_set(F.when(wanted(*leaf), F.col("o")))).alias(f"v{i}")
-        for i, leaf in enumerate(leaves)
-    ]
-    rows = triples.where(F.col("p").isin(sorted({predicate for predicate, _ in leaves})))
-    return rows.groupBy("s").agg(*sets)
+        found = F.transform(F.filter("held", chosen), lambda item: item["o"])
+        return F.array_sort(F.array_distinct(found))
 
-
-def _records(grouped: DataFrame, leaves: list[tuple[str, str | None]], spec: Frame) -> DataFrame:
-    def values(predicate: str, kind: str | None = None) -> str:
-        return f"v{leaves.index((predicate, kind))}"
-
-    if spec.type_ is not None:
-        grouped = grouped.where(F.array_contains(values(RDF_TYPE), spec.type_))
     columns = []
     for name, item in spec.fields.items():
-        held = F.col(values(item.predicate, item.kind))
+        value = values(item.predicate, item.kind)
         if not item.many:
-            held = _one(held, name)
+            value = _one(value, name)
         if item.cast is not None:
-            held = held.cast(f"array<{item.cast}>") if item.many else held.try_cast(item.cast)
-        columns.append(held.alias(name))
-    type_ = F.col(values(RDF_TYPE)).alias("_type")
-    return grouped.select(F.col("s").alias("_id"), type_, *columns)
+            value = value.cast(f"array<{item.cast}>") if item.many else value.try_cast(item.cast)
+        columns.append(value.alias(name))
+    if spec.type_ is not None:
+        is_type = F.struct(
+            F.lit(RDF_TYPE).alias("p"), F.lit(spec.type_).alias("o"), F.lit("iri").alias("o_kind")
+        )
+        grouped = grouped.where(F.array_contains("held", is_type))
+    return grouped.select(F.col("s").alias("_id"), values(RDF_TYPE).alias("_type"), *columns)
 
 
 def _embedded(
@@ -115,17 +105,11 @@ def frame(triples: DataFrame, spec: Frame) -> DataFrame:
     With ``spec.type_`` only subjects of that type are kept.  Subjects that have none of the
     predicates of the frame do not appear.
     """
-    leaves = sorted(set(_leaves(spec)), key=str)
-    grouped = _grouped(triples, leaves)
-
-    def built(level: Frame) -> DataFrame:
-        records = _records(grouped, leaves, level)
-        for name, item in level.fields.items():
-            if item.embed is not None:
-                records = _embedded(records, name, item, built(item.embed), triples)
-        return records
-
-    return built(spec)
+    records = _records(triples, spec)
+    for name, item in spec.fields.items():
+        if item.embed is not None:
+            records = _embedded(records, name, item, frame(triples, item.embed), triples)
+    return records
 
 
 # Observation records as read, and alarms as constructed from rules.

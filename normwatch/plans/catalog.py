@@ -484,9 +484,7 @@ def q37_property_chain(spark, sf):
 @query
 def q38_class_members(spark, sf):
     triples = observation_triples(spark, sf, *tv.CLASS_PREDICATES)
-    for predicate, path in tv.CHAIN.items():
-        triples = cls.with_chain(triples, predicate, path)
-    return cls.class_members(triples, tv.CLASSES)
+    return cls.class_members(triples, tv.CLASSES, tv.CHAIN)
 
 
 @query

@@ -48,7 +48,9 @@ def context_from(definitions: Mapping) -> Context:
     terms, prefixes = {}, {}
     for name, definition in definitions.items():
         if isinstance(definition, str):
-            prefixes[name] = definition
+            # Other names for keywords are not prefixes.
+            if not definition.startswith("@"):
+                prefixes[name] = definition
         elif definition and "@id" in definition:
             kind = definition.get("@type", PLAIN)
             terms[name] = (definition["@id"], ID if kind == "@id" else kind)

@@ -1,0 +1,67 @@
+from normwatch import schemas
+from normwatch.operators.codelists import (
+    CONCEPT_SCHEME,
+    band_concepts,
+    classes_for_concept,
+    code_list_schemes,
+    concepts_for_class,
+    leaf_concepts,
+    typed_concepts,
+)
+from normwatch.plans.code_lists import PROPERTY, run_code_lists
+
+CODES = [
+    {"id": "scheme:a", "type": [CONCEPT_SCHEME, "x"], "prefLabel": "A"},
+    {"id": "s0", "type": ["c"], "inScheme": "scheme:a", "narrower": ["s1"], "prefLabel": "root"},
+    {"id": "s1", "type": ["c"], "inScheme": "scheme:a", "narrower": [], "broader": "s0"},
+    {"id": "s2", "type": ["c"], "inScheme": "scheme:a", "narrower": None, "broader": "s0"},
+    {"id": "p1", "type": ["c", PROPERTY], "inScheme": "scheme:p", "dct_type": ["s1", "s2"]},
+    {"id": "p2", "type": [PROPERTY], "inScheme": "scheme:p", "dct_type": ["s2"]},
+    {"id": "p3", "type": ["c"], "inScheme": "scheme:p", "dct_type": ["s1"]},
+    {"id": "b1", "type": ["c", "n"], "inScheme": "scheme:b", "dct_type": ["s1", "s2"],
+     "minValue": 1.0, "operatie": "som"},
+    {"id": "b2", "type": ["c"], "inScheme": "scheme:b", "dct_type": ["s2"]},
+    {"id": "b3", "type": ["c"], "inScheme": "scheme:b", "dct_type": []},
+]
+
+
+def codes(spark):
+    return spark.createDataFrame(CODES, schemas.CONCEPT)
+
+
+def ids(df):
+    return sorted(row["id"] for row in df.collect())
+
+
+def test_slices(spark):
+    rows = codes(spark)
+    assert code_list_schemes(rows).collect() == [("scheme:a", "A")]
+    # Neither a filled nor a missing list of narrower concepts makes a leaf.
+    assert ids(leaf_concepts(rows, "scheme:a")) == ["s1"]
+    parameters = typed_concepts(rows, "scheme:p", PROPERTY)
+    assert ids(parameters) == ["p1", "p2"]
+    assert {row["type"] for row in parameters.collect()} == {PROPERTY}
+    assert ids(concepts_for_class(parameters, "s2")) == ["p1", "p2"]
+    assert ids(concepts_for_class(parameters, "s1")) == ["p1"]
+    assert ids(concepts_for_class(parameters, "s3")) == []
+    assert classes_for_concept(parameters, "p1").collect() == [("p1", "s1|s2")]
+    assert classes_for_concept(parameters).count() == 2
+
+
+def test_bands_are_flattened_by_type_and_class(spark):
+    bands = band_concepts(codes(spark), "scheme:b")
+    got = sorted((row["id"], row["type"], row["dct_type"]) for row in bands.collect())
+    assert got == [
+        ("b1", "c", "s1"),
+        ("b1", "c", "s2"),
+        ("b1", "n", "s1"),
+        ("b1", "n", "s2"),
+        ("b2", "c", "s2"),
+    ]
+    assert ids(band_concepts(codes(spark), "scheme:b", ["c"])) == ["b1"] * 4
+
+
+def test_job(spark, tmp_path):
+    paths = run_code_lists(codes(spark), str(tmp_path), "scheme:a", "scheme:p", "scheme:b")
+    counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
+    assert counts == {"schemes": 1, "classes": 1, "parameters": 2, "bands": 5}

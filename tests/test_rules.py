@@ -1,0 +1,176 @@
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from samples import DAY1, OBSERVATIONS, PREFIXES, observations
+
+from normwatch import schemas
+from normwatch.operators.rules import (
+    FIELDS,
+    Rule,
+    construct_alarms,
+    merge_alarms,
+    rule_targets,
+    validate,
+)
+from normwatch.plans.rule_alarms import run_rule_alarms
+from normwatch.sources import typed_observations
+
+NOW = "2025-08-01 13:37:33"
+LATER = "2025-04-05T13:01:31+02:00"
+RULES = [
+    Rule("info", "sh:Info", "observed"),
+    Rule("warning", "sh:Warning", "observed"),
+    Rule("irrigation", "sh:Violation", "flow not below 500 m³/h", "match", "prop:irrigation",
+         hi="500", hi_inclusive=True),
+    Rule("acid", "sh:Violation", "pH not above 7.5", "match", "prop:ph",
+         lo="7.5", hi="10", hi_inclusive=True),
+]
+
+
+def key_of(observation, time):
+    iri = PREFIXES["observation"] + observation
+    return hashlib.md5(f"{iri}-{time}".encode()).hexdigest()
+
+
+def with_high_ph(spark):
+    high = dict(OBSERVATIONS[0], _id="observation:31", resultTime=LATER)
+    high["result"] = {"_type": "sosa:Result", "eenheid": "unit:PH", "numerieke_waarde": 7.7}
+    return observations(spark).unionByName(spark.createDataFrame([high], schemas.OBSERVATION))
+
+
+def test_known_rule_alarms(spark):
+    alarms = construct_alarms(validate(with_high_ph(spark), RULES), prefixes=PREFIXES, as_of=NOW)
+    rows = {row["_id"]: row for row in alarms.collect()}
+    acid, flow = key_of("31", LATER), key_of("22", DAY1)
+    assert set(rows) == {f"observation:{acid}", f"observation:{flow}"}
+    row = rows[f"observation:{acid}"]
+    assert sorted(row["_type"]) == ["sh:Violation", "sosa:Observation"]
+    assert row["wasInformedBy"] == "observation:31"
+    assert row["phenomenonTime"] == LATER
+    assert row["observedProperty"] == "prop:ph"
+    assert row["result"]["_type"] == "sosa:Result"
+    assert row["result"]["message"] == "pH not above 7.5"
+
+
+def test_report_may_be_joined_to_its_observations(spark):
+    rows = with_high_ph(spark)
+    report = validate(rows, RULES)
+    carried = construct_alarms(report, prefixes=PREFIXES, as_of=NOW)
+    bare = report.select("focusNode", "resultSeverity", "resultMessage", "resultTime")
+    joined = construct_alarms(bare, rows, prefixes=PREFIXES, as_of=NOW)
+    assert Counter(map(str, joined.collect())) == Counter(map(str, carried.collect()))
+
+
+def single(spark, number, status=None, unit=None):
+    row = dict(OBSERVATIONS[0])
+    row["result"] = {"numerieke_waarde": number, "kwalitatieve_waarde": status, "eenheid": unit}
+    return spark.createDataFrame([row], schemas.OBSERVATION_AS_TEXT)
+
+
+def fires(spark, rule, *value, fields=FIELDS):
+    return validate(single(spark, *value), [rule], fields).count() == 1
+
+
+def test_ends_of_a_match(spark):
+    acid = RULES[3]
+    got = [fires(spark, acid, text) for text in ("7.5", "7.51", "1.0E1", "10.01", None, "on")]
+    assert got == [False, True, True, False, False, False]
+    open_below = Rule("r", "s", "m", "match", "prop:ph", hi="3")
+    assert [fires(spark, open_below, text) for text in ("-5", "3")] == [True, False]
+    closed = Rule("r", "s", "m", "match", "prop:ph", lo="3", lo_inclusive=True)
+    assert [fires(spark, closed, text) for text in ("3", "2.9")] == [True, False]
+
+
+def test_constraint_kinds(spark):
+    unit = Rule("r", "s", "m", "has_value", None, "unit", operand="unit:PH")
+    assert [fires(spark, unit, "1", None, u) for u in ("unit:PH", "unit:PA", None)] == [
+        False,
+        True,
+        True,
+    ]
+    number = Rule("r", "s", "m", "decimal", None, "status")
+    assert [fires(spark, number, None, text) for text in ("7.7", "on", None)] == [
+        False,
+        True,
+        False,
+    ]
+    above = Rule("r", "s", "m", "min_exclusive", "prop:ph", lo="7.5")
+    assert [fires(spark, above, text) for text in ("7.6", "7.5", None, "on")] == [
+        False,
+        True,
+        False,
+        True,
+    ]
+    less = Rule("r", "s", "m", "less_than", "prop:ph", "value", other="status")
+    pairs = [("1", "2"), ("2", "2"), ("10", "9"), ("9", "10"), ("1", None), ("1", "on")]
+    assert [fires(spark, less, *pair) for pair in pairs] == [
+        False,
+        True,
+        True,
+        False,
+        False,
+        True,
+    ]
+    times = Rule("r", "s", "m", "less_than", None, "time", other="status")
+    early, late = "2025-04-05T10:00:00Z", "2025-04-05T13:00:00+02:00"
+    assert [fires(spark, times, None, text) for text in (early, late)] == [True, False]
+
+
+def test_rules_are_checked_when_made(spark):
+    with pytest.raises(ValueError):
+        Rule("r", "s", "m", "pattern")
+    with pytest.raises(ValueError):
+        validate(observations(spark), [Rule("r", "s", "m", "decimal", None, "colour")])
+    assert validate(observations(spark), RULES[:2]).count() == 0
+
+
+def test_violations_of_one_observation_merge(spark):
+    more = [*RULES, Rule("acid-2", "sh:Warning", "check pH", "match", "prop:ph", lo="7")]
+    alarms = construct_alarms(validate(with_high_ph(spark), more), prefixes=PREFIXES, as_of=NOW)
+    doubled = merge_alarms(alarms.unionByName(alarms))
+    rows = {row["wasInformedBy"]: row for row in doubled.collect()}
+    assert len(rows) == 2
+    merged = rows["observation:31"]
+    assert merged["_type"] == ["sh:Violation", "sh:Warning", "sosa:Observation"]
+    assert {r["message"] for r in merged["result"]} == {"pH not above 7.5", "check pH"}
+
+
+def test_targets(spark):
+    rows = observations(spark)
+    assert rule_targets(rows).count() == len({o["_id"] for o in OBSERVATIONS})
+    assert rule_targets(rows, "prop:ph").collect() == [("observation:24",)]
+
+
+def test_many_rules_do_not_need_a_broadcast(spark, monkeypatch):
+    from normwatch.operators import joins
+
+    want = Counter(map(str, validate(with_high_ph(spark), RULES).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 2)
+    assert Counter(map(str, validate(with_high_ph(spark), RULES).collect())) == want
+
+
+def test_text_numbers_are_read(spark):
+    texts = single(spark, "7.7").unionByName(single(spark, "n/a"))
+    numbers = typed_observations(texts).select("result.numerieke_waarde").collect()
+    assert [row[0] for row in numbers] == [7.7, None]
+
+
+def test_job_writes_every_form(spark, tmp_path):
+    out = str(tmp_path / "alarms")
+    more = [*RULES, Rule("acid-2", "sh:Warning", "check pH", "match", "prop:ph", lo="3", hi="5")]
+    framed = run_rule_alarms(
+        with_high_ph(spark), more, out, prefixes=PREFIXES, as_of=NOW, single_file=True
+    )
+    assert framed.count() == 2
+    assert len(list((tmp_path / "alarms" / "parquet").glob("*.parquet"))) == 1
+    assert spark.read.json(f"{out}/json").count() == 2
+    # Triples keep every severity: two violations and two warnings, nine statements each.
+    lines = [row["value"] for row in spark.read.text(f"{out}/ntriples").collect()]
+    alarms = [line for line in lines if "#wasInformedBy>" in line]
+    assert len(alarms) == 4
+    assert all(line.endswith(" .") for line in lines)
+    assert f"<{PREFIXES['observation']}{key_of('31', LATER)}>" in " ".join(lines)
+    assert spark.read.parquet(f"{out}/all").where(F.size("_type") == 2).count() == 4
