@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from normwatch.functions import alarm_key, date_as_written, now_or
-from normwatch.operators.joins import spread_join
+from normwatch.operators import joins
+from normwatch.operators.joins import measured_bytes, spread_join
 
 VALUE = "result.numerieke_waarde"
 
@@ -16,7 +17,16 @@ def inside_band(value: Column, lower: Column, upper: Column) -> Column:
     return (lower.isNull() | (value > lower)) & (upper.isNull() | (value < upper))
 
 
-def match_bands(observations: DataFrame, bands: DataFrame, **spread) -> DataFrame:
+def _with_normed_property(observations: DataFrame, bands: DataFrame) -> DataFrame:
+    """Observations of a property that some band is about, as far as those can be broadcast."""
+    normed = bands.select(F.col("parameter").alias("normed")).distinct()
+    if measured_bytes(normed) > joins.BROADCAST_BYTES:
+        return observations
+    same = F.col("observedProperty") == F.col("normed")
+    return observations.join(F.broadcast(normed), same, "left_semi")
+
+
+def match_bands(observations: DataFrame, bands: DataFrame) -> DataFrame:
     """Observations joined to every absolute band of their system and property they lie in.
 
     An observation in several bands gives several rows.  A band open on both sides matches every
@@ -24,7 +34,11 @@ def match_bands(observations: DataFrame, bands: DataFrame, **spread) -> DataFram
     """
     in_band = inside_band(F.col(VALUE), F.col("minValue"), F.col("maxValue"))
     on = [("hasFeatureOfInterest", "lzsid"), ("observedProperty", "parameter")]
-    return spread_join(observations, bands, on, where=in_band, **spread)
+    size = measured_bytes(bands)
+    if size > joins.BROADCAST_BYTES:
+        # The observations will be shuffled: leave those out that no band is about.
+        observations = _with_normed_property(observations, bands)
+    return spread_join(observations, bands, on, where=in_band, right_bytes=size)
 
 
 def alarm_report(observations: DataFrame, bands: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -14,9 +14,9 @@ from normwatch.sources.context import STANDARD_CONTEXT, Context
 
 
 def alarm_triples(alarms: DataFrame, context: Context = STANDARD_CONTEXT) -> DataFrame:
-    """The graph of constructed alarms, as a set of triples."""
-    ordered = alarms.withColumn("resultTime", alarms["resultTime"].cast("string"))
-    return union_graphs(to_triples(ordered, context))
+    """The triples of constructed alarms."""
+    timed = alarms.withColumn("resultTime", alarms["resultTime"].cast("string"))
+    return to_triples(timed, context)
 
 
 def run_rule_alarms(
@@ -43,8 +43,9 @@ def run_rule_alarms(
     written = spark.read.schema(merged.schema).parquet(f"{out}/all")
 
     triples = alarm_triples(written, context)
-    write_ntriples(expand_iris(triples, names), f"{out}/ntriples")
+    write_ntriples(expand_iris(union_graphs(triples), names), f"{out}/ntriples")
     framed = frame(triples, alarm_frame(severity))
-    write_nested_json(framed, f"{out}/json")
     write_parquet(framed, f"{out}/parquet", single_file=single_file)
-    return spark.read.schema(framed.schema).parquet(f"{out}/parquet")
+    stored = spark.read.schema(framed.schema).parquet(f"{out}/parquet")
+    write_nested_json(stored, f"{out}/json")
+    return stored
