@@ -118,7 +118,8 @@ def spread_join(
         salts = F.sequence(F.lit(0), _salts_of(right_hash, tiers) - 1)
         copies = right.select("*", F.explode(salts).alias("salt_r"))
     else:
-        copies = right.withColumn("salt_r", F.lit(0))
+        # Always 0; a literal would be folded away and the salt lost as a shuffle key.
+        copies = right.withColumn("salt_r", F.pmod(right_hash, F.lit(1)).cast("int"))
     match.append(F.col("salt_l") == F.col("salt_r"))
     return salted.join(copies, reduce(Column.__and__, match), how).drop("salt_l", "salt_r")
 

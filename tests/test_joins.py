@@ -65,26 +65,41 @@ def test_every_way_gives_each_pair_once(spark, how, way):
     assert Counter(tuple(row) for row in joined.collect()) == brute_force(left, right, how)
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    left = spark.range(20000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("a"), "id"
-    )
-    right = spark.range(20000).select(F.col("id").alias("b"))
-    joined = spread_join(left, right, [("a", "b")], right_bytes=UNBOUNDED, hot_rows=500)
+def tasks_of(spark, joined, condition):
+    """Rows per task of a shuffled join, without help from the adaptive planner."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        where = joined.where("a = 7").select(F.spark_partition_id().alias("task"))
-        tasks = [row["count"] for row in where.groupBy("task").count().collect()]
+        where = joined.where(condition).select(F.spark_partition_id().alias("task"))
+        return [row["count"] for row in where.groupBy("task").count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    left = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("a"), "id"
+    )
+    right = spark.range(20000).select(F.col("id").alias("b"))
+    joined = spread_join(left, right, [("a", "b")], right_bytes=UNBOUNDED, hot_rows=500)
+    tasks = tasks_of(spark, joined, "a = 7")
     # Every third row, and the row whose own number is 7.
     rows = len(range(0, 20000, 3)) + 1
     assert sum(tasks) == rows
     assert len(tasks) > 2 and max(tasks) < rows / 2
 
 
+def test_missing_keys_of_an_outer_join_are_spread(spark):
+    left = spark.range(20000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("a"), "id")
+    right = spark.range(20000).select(F.col("id").alias("b"))
+    joined = spread_join(left, right, [("a", "b")], "left", right_bytes=UNBOUNDED)
+    tasks = tasks_of(spark, joined, "a IS NULL")
+    assert sum(tasks) == 6667
+    assert len(tasks) > 2 and max(tasks) < 6667 / 2
+    assert joined.where("b IS NOT NULL").count() == 20000 - 6667
+
+
 def test_hot_keys_and_sizes(spark):
     left = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("a"))
     hot = hot_keys(left, ["a"], 900)
