@@ -24,11 +24,15 @@ def run_code_lists(
     band_scheme: str,
     property_type: str = PROPERTY,
     scheme_type: str = CONCEPT_SCHEME,
+    cache: bool = False,
 ) -> dict[str, str]:
     """Write schemes, system classes, parameters and bands; returns the path of each.
 
-    Every slice is one narrow pass over the columns it needs, so the code list is not cached.
+    Every slice is one narrow pass over the columns it needs.  ``cache`` keeps the code list for
+    the four passes, which pays where it is slow to read; what does not fit in memory goes to disk.
     """
+    if cache:
+        codes = codes.persist()
     slices = {
         "schemes": code_list_schemes(codes, scheme_type),
         "classes": leaf_concepts(codes, class_scheme),
@@ -36,6 +40,10 @@ def run_code_lists(
         "bands": band_concepts(codes, band_scheme),
     }
     paths = {name: f"{out}/{name}" for name in slices}
-    for name, rows in slices.items():
-        write_parquet(rows, paths[name])
+    try:
+        for name, rows in slices.items():
+            write_parquet(rows, paths[name])
+    finally:
+        if cache:
+            codes.unpersist()
     return paths

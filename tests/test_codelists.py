@@ -62,6 +62,10 @@ def test_bands_are_flattened_by_type_and_class(spark):
 
 
 def test_job(spark, tmp_path):
-    paths = run_code_lists(codes(spark), str(tmp_path), "scheme:a", "scheme:p", "scheme:b")
-    counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
-    assert counts == {"schemes": 1, "classes": 1, "parameters": 2, "bands": 5}
+    for cache in (False, True):
+        rows = codes(spark)
+        out = str(tmp_path / str(cache))
+        paths = run_code_lists(rows, out, "scheme:a", "scheme:p", "scheme:b", cache=cache)
+        counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
+        assert counts == {"schemes": 1, "classes": 1, "parameters": 2, "bands": 5}
+        assert not rows.is_cached
