@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,16 +22,44 @@ RDF_TYPE = "rdf:type"
 _TRIPLE = "array<struct<s:string,p:string,o:string,o_kind:string,datatype:string>>"
 
 
-def _triple(s: Column, p: str, o: Column, kind: Column, datatype: str | None) -> Column:
-    return F.array(
-        F.struct(
+@dataclass
+class _Parts:
+    """Triples of a value: known one by one, and as arrays of unknown length."""
+
+    single: list[Column] = field(default_factory=list)
+    arrays: list[Column] = field(default_factory=list)
+
+    def add(self, other: _Parts) -> None:
+        self.single += other.single
+        self.arrays += other.arrays
+
+    def array(self) -> Column:
+        single = F.array(*self.single) if self.single else F.array().cast(_TRIPLE)
+        return F.concat(single, *self.arrays) if self.arrays else single
+
+
+@dataclass(frozen=True)
+class _Making:
+    """What is the same for all values: the context, the wanted predicates, full or compact names."""
+
+    context: Context
+    wanted: Collection[str] | None
+    full: bool
+
+    def wants(self, p: str) -> bool:
+        return self.wanted is None or p in self.wanted
+
+    def name(self, iri: str | None) -> str | None:
+        return self.context.expand(iri) if self.full and iri is not None else iri
+
+    def triple(self, s: Column, p: str, o: Column, kind: Column, datatype: str | None) -> Column:
+        return F.struct(
             s.alias("s"),
-            F.lit(p).alias("p"),
+            F.lit(self.name(p)).alias("p"),
             o.alias("o"),
             kind.alias("o_kind"),
-            F.lit(datatype).cast("string").alias("datatype"),
+            F.lit(self.name(datatype)).cast("string").alias("datatype"),
         )
-    ).cast(_TRIPLE)
 
 
 def _reference_kind(o: Column) -> Column:
@@ -56,69 +85,51 @@ def _term(name: str, context: Context) -> tuple[str, str] | None:
 
 
 def _value_triples(
+    making: _Making,
     subject: Column,
     p: str,
     how: str,
     value: Column,
     kind: T.DataType,
     node: Column,
-    context: Context,
-    wanted: Collection[str] | None,
-) -> Column:
-    """Array of the triples one field value gives; ``node`` names a nested record without id."""
-    is_wanted = wanted is None or p in wanted
+) -> _Parts:
+    """The triples one field value gives; ``node`` names a nested record without id."""
     if isinstance(kind, T.ArrayType):
-        return F.flatten(
-            F.transform(
-                value,
-                lambda item, i: _value_triples(
-                    subject,
-                    p,
-                    how,
-                    item,
-                    kind.elementType,
-                    F.concat(node, F.lit("-"), i.cast("string")),
-                    context,
-                    wanted,
-                ),
-            )
-        )
+
+        def of_item(item: Column, i: Column) -> Column:
+            inner = F.concat(node, F.lit("-"), i.cast("string"))
+            return _value_triples(making, subject, p, how, item, kind.elementType, inner).array()
+
+        items = F.flatten(F.transform(value, of_item))
+        return _Parts(arrays=[F.coalesce(items, F.array().cast(_TRIPLE))])
     if isinstance(kind, T.StructType):
         own = value["_id"] if "_id" in kind.names else F.lit(None).cast("string")
         nested = F.coalesce(own, node)
-        present = F.when(value.isNotNull(), nested)
-        link = _triple(subject, p, present, _reference_kind(nested), None)
-        inner = _record_triples(nested, value, kind, node, context, wanted)
-        return F.concat(*([link] if is_wanted else []), *inner, F.array().cast(_TRIPLE))
-    if not is_wanted:
-        return F.array().cast(_TRIPLE)
+        parts = _record_triples(making, nested, value, kind, node)
+        if making.wants(p):
+            present = F.when(value.isNotNull(), nested)
+            parts.single.append(making.triple(subject, p, present, _reference_kind(nested), None))
+        return parts
+    if not making.wants(p):
+        return _Parts()
     text = value.cast("string")
     if how == ID:
-        return _triple(subject, p, text, _reference_kind(text), None)
+        return _Parts([making.triple(subject, p, text, _reference_kind(text), None)])
     datatype = _native_datatype(kind) if how == PLAIN else how
-    return _triple(subject, p, text, F.lit("literal"), datatype)
+    return _Parts([making.triple(subject, p, text, F.lit("literal"), datatype)])
 
 
 def _record_triples(
-    subject: Column,
-    record: Column | None,
-    schema: T.StructType,
-    node: Column,
-    context: Context,
-    wanted: Collection[str] | None,
-) -> list[Column]:
-    parts = []
-    for field in schema:
-        term = _term(field.name, context)
-        if field.name == "_id" or term is None:
-            continue
-        nested = isinstance(field.dataType, (T.StructType, T.ArrayType))
-        if wanted is not None and term[0] not in wanted and not nested:
+    making: _Making, subject: Column, record: Column | None, schema: T.StructType, node: Column
+) -> _Parts:
+    parts = _Parts()
+    for item in schema:
+        term = _term(item.name, making.context)
+        if item.name == "_id" or term is None:
             continue
-        value = F.col(f"`{field.name}`") if record is None else record[field.name]
-        inner = F.concat(node, F.lit(f"-{field.name}"))
-        triples = _value_triples(subject, *term, value, field.dataType, inner, context, wanted)
-        parts.append(F.coalesce(triples, F.array().cast(_TRIPLE)))
+        value = F.col(f"`{item.name}`") if record is None else record[item.name]
+        inner = F.concat(node, F.lit(f"-{item.name}"))
+        parts.add(_value_triples(making, subject, *term, value, item.dataType, inner))
     return parts
 
 
@@ -127,12 +138,14 @@ def to_triples(
     context: Context,
     node_key: Sequence[str] | None = None,
     predicates: Collection[str] | None = None,
+    full_terms: bool = False,
 ) -> DataFrame:
     """All triples of nested records; fields the context has no term for are left out.
 
     A nested record without ``_id`` gets a node name made from the values of ``node_key`` (default:
     all columns) of its record, so it is the same on every run.  With ``predicates`` only their
-    triples are made.  Rows are expanded in place, nothing is shuffled.
+    triples are made.  ``full_terms`` writes predicates and datatypes as full IRIs, which leaves only
+    subjects and objects to :func:`expand_iris`.  Rows are expanded in place, nothing is shuffled.
     """
     if node_key is None:
         identity = F.to_json(F.struct("*"))
@@ -141,9 +154,9 @@ def to_triples(
     keyed = records.withColumn("node_key_", F.concat(F.lit("_:"), F.md5(identity.cast("binary"))))
     node = F.col("node_key_")
     subject = F.coalesce(F.col("_id"), node) if "_id" in records.columns else node
-    parts = _record_triples(subject, None, records.schema, node, context, predicates)
-    every = F.concat(*parts, F.array().cast(_TRIPLE))
-    rows = keyed.select(F.explode(every).alias("t")).select("t.*")
+    making = _Making(context, predicates, full_terms)
+    parts = _record_triples(making, subject, None, records.schema, node)
+    rows = keyed.select(F.explode(parts.array()).alias("t")).select("t.*")
     return rows.where(F.col("o").isNotNull())
 
 

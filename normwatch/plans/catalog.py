@@ -468,8 +468,9 @@ def q35_framed_alarms_json(spark, sf):
 
 @query
 def q36_ntriples(spark, sf):
-    expanded = expand_iris(observation_triples(spark, sf), tv.CONTEXT.prefixes)
-    return ntriples_lines(expanded)
+    rows = tv.observations(spark, sf)
+    triples = to_triples(rows, tv.CONTEXT, tv.NODE_KEY, full_terms=True)
+    return ntriples_lines(expand_iris(triples, tv.CONTEXT.prefixes, columns=("s", "o")))
 
 
 # Classes

@@ -13,10 +13,12 @@ from normwatch.sinks import write_nested_json, write_ntriples, write_parquet
 from normwatch.sources.context import STANDARD_CONTEXT, Context
 
 
-def alarm_triples(alarms: DataFrame, context: Context = STANDARD_CONTEXT) -> DataFrame:
+def alarm_triples(
+    alarms: DataFrame, context: Context = STANDARD_CONTEXT, full_terms: bool = False
+) -> DataFrame:
     """The triples of constructed alarms."""
     timed = alarms.withColumn("resultTime", alarms["resultTime"].cast("string"))
-    return to_triples(timed, context)
+    return to_triples(timed, context, full_terms=full_terms)
 
 
 def run_rule_alarms(
@@ -42,9 +44,9 @@ def run_rule_alarms(
     write_parquet(merged, f"{out}/all")
     written = spark.read.schema(merged.schema).parquet(f"{out}/all")
 
-    triples = alarm_triples(written, context)
-    write_ntriples(expand_iris(union_graphs(triples), names), f"{out}/ntriples")
-    framed = frame(triples, alarm_frame(severity))
+    graph = union_graphs(alarm_triples(written, context, full_terms=True))
+    write_ntriples(expand_iris(graph, names, columns=("s", "o")), f"{out}/ntriples")
+    framed = frame(alarm_triples(written, context), alarm_frame(severity))
     write_parquet(framed, f"{out}/parquet", single_file=single_file)
     stored = spark.read.schema(framed.schema).parquet(f"{out}/parquet")
     write_nested_json(stored, f"{out}/json")

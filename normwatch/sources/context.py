@@ -32,6 +32,11 @@ class Context:
         """Both contexts; ``other`` wins."""
         return Context({**self.terms, **other.terms}, {**self.prefixes, **other.prefixes})
 
+    def expand(self, iri: str) -> str:
+        """The full form of a compact IRI."""
+        prefix, colon, rest = iri.partition(":")
+        return self.prefixes[prefix] + rest if colon and prefix in self.prefixes else iri
+
     def term_table(self, spark: SparkSession) -> DataFrame:
         """``(term, iri, value_kind)``."""
         rows = [(term, iri, kind) for term, (iri, kind) in self.terms.items()]

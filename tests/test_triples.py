@@ -126,6 +126,15 @@ def test_wanted_predicates_are_the_only_ones_made(spark):
     assert Counter(map(tuple, some.collect())) == Counter(map(tuple, kept.collect()))
 
 
+def test_full_terms_need_no_lookup(spark):
+    context = STANDARD_CONTEXT.merged(Context(prefixes=PREFIXES))
+    compact = to_triples(observations(spark), context)
+    full = to_triples(observations(spark), context, full_terms=True)
+    by_lookup = expand_iris(compact, context.prefixes)
+    at_once = expand_iris(full, context.prefixes, columns=("s", "o"))
+    assert Counter(map(tuple, at_once.collect())) == Counter(map(tuple, by_lookup.collect()))
+
+
 def test_record_without_id_is_a_node(spark):
     rows = spark.createDataFrame([(None, "n"), (None, "n")], "_id string, label string")
     triples = to_triples(rows, STANDARD_CONTEXT)
