@@ -40,7 +40,7 @@ class _Parts:
 
 @dataclass(frozen=True)
 class _Making:
-    """What is the same for all values: the context, the wanted predicates, full or compact names."""
+    """What is the same for all values: context, wanted predicates, full or compact names."""
 
     context: Context
     wanted: Collection[str] | None
@@ -144,8 +144,9 @@ def to_triples(
 
     A nested record without ``_id`` gets a node name made from the values of ``node_key`` (default:
     all columns) of its record, so it is the same on every run.  With ``predicates`` only their
-    triples are made.  ``full_terms`` writes predicates and datatypes as full IRIs, which leaves only
-    subjects and objects to :func:`expand_iris`.  Rows are expanded in place, nothing is shuffled.
+    triples are made.  ``full_terms`` writes predicates and datatypes as full IRIs, which leaves
+    only subjects and objects to :func:`expand_iris`.  Rows are expanded in place, nothing is
+    shuffled.
     """
     if node_key is None:
         identity = F.to_json(F.struct("*"))

@@ -36,14 +36,15 @@ obs AS (
 def _bands(rows: list[tuple]) -> str:
     return f"""
 bands AS (
-  SELECT id, class, 'prop:' || property AS prop, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi,
-         CAST(op AS VARCHAR) AS op,
+  SELECT id, class, 'prop:' || property AS prop,
+         CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, CAST(op AS VARCHAR) AS op,
          'label ' || id AS label, 'note ' || id AS note, 'kind ' || id AS kind
   FROM (VALUES {_values(rows)}) AS v(id, class, property, lo, hi, op))"""
 
 
 SYSTEMS = """
-systems AS (SELECT 'system:' || c_custkey AS sys, c_mktsegment AS class, c_custkey AS k FROM customer),
+systems AS (
+  SELECT 'system:' || c_custkey AS sys, c_mktsegment AS class, c_custkey AS k FROM customer),
 limits AS (
   SELECT sys, 'prop:click' AS prop, NULL::DOUBLE AS val, NULL::DOUBLE AS vmin,
          (40 + k % 50)::DOUBLE AS vmax FROM systems
@@ -209,7 +210,9 @@ members AS (
          OR u.o = 'unit:PA' AND TRY_CAST(v.o AS DECIMAL(38,10)) < 3))"""
 _INHERITED = f"""
 edges AS (SELECT * FROM (VALUES {_values(tv.SUBCLASS_ROWS)}) AS v(sub, super)),
-up AS (SELECT sub, super FROM edges UNION SELECT up.sub, e.super FROM up JOIN edges e ON up.super = e.sub),
+up AS (
+  SELECT sub, super FROM edges
+  UNION SELECT up.sub, e.super FROM up JOIN edges e ON up.super = e.sub),
 stated AS (SELECT s, class FROM members UNION SELECT s, o FROM triples WHERE p = 'rdf:type')"""
 
 ORACLES: dict[str, str] = {
@@ -247,7 +250,8 @@ WITH {CODES} SELECT id, u.t AS type, scheme AS "inScheme", p_name AS "prefLabel"
   CASE WHEN p_partkey % 2 = 0 THEN p_retailprice END AS "minValue",
   CASE p_partkey % 3 WHEN 0 THEN 'som' WHEN 1 THEN 'product' END AS operatie
 FROM codes, unnest(types) AS u(t), unnest(classes) AS c(c)
-WHERE scheme = 'scheme:LARGE' AND NOT (p_type IN ('LARGE', 'Brand#3') AND p_brand IN ('LARGE', 'Brand#3'))""",
+WHERE scheme = 'scheme:LARGE'
+  AND NOT (p_type IN ('LARGE', 'Brand#3') AND p_brand IN ('LARGE', 'Brand#3'))""",
     "q13_with_column": """
 SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS l_extendedprice, l_discount,
   CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'kept' END AS l_returnflag FROM lineitem""",

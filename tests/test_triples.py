@@ -89,7 +89,8 @@ def test_kinds_of_values(spark):
         "_id string, _type array<string>, count long, exact boolean, weight double, other string, "
         "label array<string>, parts array<struct<_id: string, label: string>>"
     )
-    row = ("x:1", ["x:A", "x:B"], 3, True, 1.5, "dropped", ["l1", "l2"], [("x:2", "p"), (None, "q")])
+    parts = [("x:2", "p"), (None, "q")]
+    row = ("x:1", ["x:A", "x:B"], 3, True, 1.5, "dropped", ["l1", "l2"], parts)
     context = Context(
         {
             "count": ("x:count", "plain"),
