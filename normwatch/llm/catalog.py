@@ -6,11 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from normwatch.llm.bpe import op5_byte_bpe
 from normwatch.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from normwatch.llm.mixing import op10_temperature_mixing
+from normwatch.llm.quality import op1_quality
 from normwatch.llm.sharding import op3_lpt_sharding
 from normwatch.llm.simhash import op4_simhash
+from normwatch.llm.token_counts import op6_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_lpt_sharding, op4_simhash, op7_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op3_lpt_sharding,
+        op4_simhash,
+        op5_byte_bpe,
+        op6_token_counts,
+        op7_exact_dedup,
+        op10_temperature_mixing,
+    )
 }
 ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
