@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from normwatch.llm.common import binary_text, bounded_side, in_arrow, stored, table
 
 # Weight of the pooled covariance, and of the identity, in a class covariance.
-POOLED = 0.1
+POOLED = 0.7
 IDENTITY = 0.01
 _CLASSES = ("upper", "lower", "digit", "space", "newline", "stop", "exclaim", "mark", "high")
 
