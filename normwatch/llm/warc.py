@@ -232,15 +232,15 @@ WITH plain AS (
          CASE WHEN n % 3 <> 0 THEN 'day ' || (n % 28) END AS modified
   FROM cut
 ), responses AS (
-  SELECT canonical_url, 1700000000 + n * 60 AS at, max(n) AS n
+  SELECT canonical_url, 1700000000 + n * 60 AS secs, max(n) AS n
   FROM base WHERE n % 13 <> 0 AND html IS NOT NULL GROUP BY ALL
 ), revisits AS (
-  SELECT *, 1700000000 + n * 60 + (n % 97 - 8) * 3600 AS at,
+  SELECT *, 1700000000 + n * 60 + (n % 97 - 8) * 3600 AS secs,
          CASE WHEN tag IS NOT NULL AND n % 7 = 0 THEN '"changed"' ELSE tag END AS new_tag
   FROM base
 ), joined AS (
   SELECT v.*, r.n AS rn, o.tag AS old_tag, o.modified AS old_modified, o.html AS body
-  FROM revisits v ASOF LEFT JOIN responses r ON v.canonical_url = r.canonical_url AND v.at > r.at
+  FROM revisits v ASOF LEFT JOIN responses r ON v.canonical_url = r.canonical_url AND v.secs > r.secs
   LEFT JOIN base o ON o.n = r.n
 ), judged AS (
   SELECT *, CASE
@@ -252,7 +252,7 @@ WITH plain AS (
     ELSE 'no_validator' END AS status
   FROM joined
 )
-SELECT n * 2 + 1 AS record_id, canonical_url, at AS captured, status, rn * 2 AS response_id,
+SELECT n * 2 + 1 AS record_id, canonical_url, secs AS captured, status, rn * 2 AS response_id,
        concat_ws(';', 'cache-control=max-age=120',
          CASE WHEN status = 'resolved' THEN 'content-type=text/html' ELSE 'content-type=text/plain' END,
          'etag=' || coalesce(CASE WHEN new_tag = '"changed"' THEN new_tag ELSE 'W/' || new_tag END,
