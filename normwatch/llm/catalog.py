@@ -13,6 +13,7 @@ from normwatch.llm.nn_descent import op2_nn_descent
 from normwatch.llm.quality import op1_quality
 from normwatch.llm.sharding import op3_lpt_sharding
 from normwatch.llm.simhash import op4_simhash
+from normwatch.llm.substrings import op9_substring_dedup
 from normwatch.llm.token_counts import op6_token_counts
 from normwatch.llm.warc import OP8_SQL, op8_warc_revisits
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_token_counts,
         op7_exact_dedup,
         op8_warc_revisits,
+        op9_substring_dedup,
         op10_temperature_mixing,
     )
 }
