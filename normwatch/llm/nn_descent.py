@@ -32,6 +32,7 @@ LEAF = 768
 PER_LEAF = 16  # candidates that a node takes from one leaf
 SAMPLE = 16  # listed nodes, and listing nodes, that meet at a node in one round
 PROPOSALS = 8  # best new pairs of a node in one meeting
+REVERSED = 8  # nodes that list a node, followed in a search beside those it lists
 ROUNDS = 3
 BEAM = 256
 OPEN = 24  # nodes that a query follows in one step
@@ -67,6 +68,8 @@ class Graph:
 
 
 def _matrix(blobs: list[bytes]) -> np.ndarray:
+    if not blobs:
+        return np.zeros((0, 0), np.float32)
     return np.frombuffer(b"".join(blobs), np.float16).reshape(len(blobs), -1).astype(np.float32)
 
 
@@ -230,8 +233,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sampled(sample: int):
-    """The first ``sample`` of each node and direction; rows sorted by node, kind, old, chance."""
+def _sampled(listed: int, listing: int):
+    """The first nodes of each direction; rows sorted by node, kind, old, chance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, seen = None, 0
@@ -244,7 +247,8 @@ def _sampled(sample: int):
             if key[0] == last:
                 place[key == last] += seen
             last, seen = key[-1], int(place[-1]) + 1
-            keep = batch.filter(pa.array(place < sample))
+            most = np.where(batch.column(1).to_numpy() == 0, listed, listing)
+            keep = batch.filter(pa.array(place < most))
             yield pa.RecordBatch.from_arrays(
                 [keep.column(0), keep.column(4), keep.column(2)], names=["at", "other", "old"]
             )
@@ -350,7 +354,7 @@ def build_graph(
     for _ in range(rounds):
         asked = in_arrow(state, _listed, "node long, kind int, old int, chance int, other long")
         asked = asked.repartition("node").sortWithinPartitions("node", "kind", "old", "chance")
-        asked = in_arrow(asked, _sampled(SAMPLE), "at long, other long, old int")
+        asked = in_arrow(asked, _sampled(SAMPLE, SAMPLE), "at long, other long, old int")
         known = in_arrow(
             state.select("node", "vec", "scores"), _with_least(neighbours), "node long, vec binary, least float"
         )
@@ -358,8 +362,12 @@ def build_graph(
         met = met.repartition("at").sortWithinPartitions("at", "other")
         proposals = in_arrow(met, _meet, _LISTS)
         state = stored(_refined(state.union(proposals), neighbours), "graph")
+    # A few edges against their direction make nodes reachable that hardly any node lists.
     edges = in_arrow(state, _listed, "node long, kind int, old int, chance int, other long")
-    edges = edges.where("kind = 0").select(F.col("node").alias("at"), "other")
+    edges = edges.groupBy("node", "other").agg(F.min("kind").alias("kind"), F.min("chance").alias("chance"))
+    edges = edges.select("node", "kind", F.lit(0).alias("old"), "chance", "other")
+    edges = edges.repartition("node").sortWithinPartitions("node", "kind", "chance")
+    edges = in_arrow(edges, _sampled(neighbours, REVERSED), "at long, other long, old int")
     packed = edges.join(base, F.col("other") == F.col("node")).select("at", "other", "vec")
     packed = packed.repartition("at").sortWithinPartitions("at")
     adjacency = stored(in_arrow(packed, _packed, "node long, ids binary, vecs binary"), "adjacency")
