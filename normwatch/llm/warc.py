@@ -62,7 +62,9 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
     seconds = F.unix_micros(F.col("warc_date").cast("timestamp"))
     headers = F.col("http_headers")
     full = (F.col("warc_type") == "response") & (F.col("http_status") == 200)
-    full = F.coalesce(full & F.col("payload").isNotNull() & F.col("record_id").isNotNull(), F.lit(False))
+    for needed in ("payload", "record_id", "warc_date", "target_uri"):
+        full = full & F.col(needed).isNotNull()
+    full = F.coalesce(full, F.lit(False))
     base = records.select(
         "record_id",
         "warc_type",
