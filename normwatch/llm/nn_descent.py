@@ -33,10 +33,10 @@ PER_LEAF = 16  # candidates that a node takes from one leaf
 SAMPLE = 16  # listed nodes, and listing nodes, that meet at a node in one round
 PROPOSALS = 8  # best new pairs of a node in one meeting
 REVERSED = 8  # nodes that list a node, followed in a search beside those it lists
-ROUNDS = 3
+ROUNDS = 2
 BEAM = 256
-OPEN = 24  # nodes that a query follows in one step
-STEPS = 14
+OPEN = 40  # nodes that a query follows in one step
+STEPS = 7
 PIVOTS = 32
 RESCORED = 48
 
