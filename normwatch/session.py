@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -31,12 +34,16 @@ def local_session(cpus: int = 8, app: str = "normwatch") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is empty (tests, a laptop) a temporary folder is made.
+    Only a local session (tests, a laptop) that lacks the setting gets a temporary folder, which is
+    removed when the program ends.  On a cluster the setting is required.
     """
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="normwatch-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return named

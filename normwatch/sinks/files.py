@@ -11,16 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
-from normwatch.operators.joins import fits_broadcast
 from normwatch.operators.triples import ntriples_lines
 
 
 def _writer(
     df: DataFrame, partition_by: Sequence[str], single_file: bool
 ) -> DataFrameWriter:
-    if single_file and fits_broadcast(df):
-        # One task writes the file; the size of its input has just been checked.
-        df = df.coalesce(1)
+    if single_file:
+        # One task gathers and writes all rows, as asked for; what is upstream stays parallel.
+        df = df.repartition(1)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
@@ -30,7 +29,7 @@ def _writer(
 def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False
 ) -> None:
-    """Parquet files.  ``single_file`` is honoured for small data; larger data stays parallel."""
+    """Parquet files; with ``single_file`` one file (per date), written by one task."""
     _writer(df, partition_by, single_file).parquet(path)
 
 

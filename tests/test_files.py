@@ -1,10 +1,12 @@
 import json
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 from samples import ALARMS, OBSERVATIONS, bands, observations, systems
 
 from normwatch import schemas, session
+from normwatch.functions import date_as_written
 from normwatch.plans.band_alarms import run_band_alarms
 from normwatch.sinks import register_view, round_trip_parquet, write_json, write_parquet
 from normwatch.sources import (
@@ -71,19 +73,30 @@ def test_random_ids_are_the_same_in_both_forms(spark, tmp_path):
     assert bag(ids) == bag(spark.read.json(f"{out}/json").select("_id", "result._id"))
 
 
-def test_single_file_only_for_small_data(spark, tmp_path, monkeypatch):
+def test_single_file_is_obeyed(spark, tmp_path):
     rows = spark.range(1000).repartition(4).withColumn("day", F.col("id") % 2)
     write_parquet(rows, str(tmp_path / "one"), single_file=True)
     assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
-    from normwatch.operators import joins
-
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
-    write_parquet(rows, str(tmp_path / "many"), single_file=True)
+    write_parquet(rows, str(tmp_path / "many"))
     assert len(list((tmp_path / "many").glob("*.parquet"))) == 4
     write_parquet(rows, str(tmp_path / "days"), partition_by=["day"])
     assert spark.read.parquet(str(tmp_path / "days")).count() == 1000
 
 
+def test_corrupt_texts_and_arrays(spark):
+    record = schemas.T.StructType.fromDDL("k long, s string")
+    texts = [('{"k": 1, "s": "a"}',), ("{bad",), ('[{"k": 2}, {"k": 3}]',), (None,), ("[]",)]
+    rows = from_json_text(spark.createDataFrame(texts, "text string"), "text", record, "lost")
+    got = sorted(map(tuple, rows.collect()), key=str)
+    want = [(1, "a", None), (2, None, None), (3, None, None), (None, None, "{bad"), (None, None, None)]
+    assert got == sorted(want, key=str)
+
+
+def test_far_dates_are_read_as_written(spark):
+    row = spark.sql("select '12025-04-06T01:02:03Z' as t").select(date_as_written(F.col("t")).cast("string"))
+    assert row.first()[0] == "+12025-04-06"
+
+
 def test_views(spark):
     register_view(observations(spark), "sample_observations")
     assert spark.sql("SELECT count(*) AS n FROM sample_observations").first()["n"] == 21
@@ -93,3 +106,18 @@ def test_shared_folder_comes_from_the_session(spark):
     first = session.shared_dir(spark)
     assert session.shared_dir(spark) == first
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_a_cluster_must_name_its_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
