@@ -10,10 +10,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def alarm_key(observation: Column, time_text: Column, band: Column) -> Column:
-    """Hash of observation id, time as written and band id."""
-    text = F.concat_ws("-", observation, time_text.cast("string"), band)
-    return F.md5(text.cast("binary"))
+def alarm_key(
+    observation: Column, time_text: Column, band: Column, operating_no: Column
+) -> Column:
+    """Hash of observation id, time as written, band id and the operating property it was resolved
+    with (its place in the list of the system).
+
+    The parts are hashed as a JSON array: a missing part stays apart from an empty one, and no part
+    runs into the next.
+    """
+    parts = F.array(*[c.cast("string") for c in (observation, time_text, band, operating_no)])
+    return F.md5(F.to_json(parts).cast("binary"))
+
+
+def record_key(*fields: Column) -> Column:
+    """Hash of several named fields, NULL ones included."""
+    return F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary"))
 
 
 def rule_alarm_key(observation_iri: Column, time_text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def date_as_written(col: Column) -> Column:
     """The calendar date in the text, whatever offset follows it; NULL for malformed text."""
-    return F.substring(col.cast("string"), 1, 10).try_cast("date")
+    return col.cast("string").try_cast("date")
 
 
 def instant(col: Column) -> Column:

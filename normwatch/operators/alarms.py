@@ -6,49 +6,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from normwatch.functions import alarm_key, date_as_written, now_or
-from normwatch.operators import joins
-from normwatch.operators.joins import measured_bytes, spread_join
+from normwatch.operators.joins import spread_join
 
 VALUE = "result.numerieke_waarde"
 
 
+def _key(band: str) -> Column:
+    return alarm_key(F.col("_id"), F.col("resultTime"), F.col(band), F.col("operating_no"))
+
+
 def inside_band(value: Column, lower: Column, upper: Column) -> Column:
     """Strictly between the bounds; a NULL bound is open."""
     return (lower.isNull() | (value > lower)) & (upper.isNull() | (value < upper))
 
 
-def _with_normed_property(observations: DataFrame, bands: DataFrame) -> DataFrame:
-    """Observations of a property that some band is about, as far as those can be broadcast."""
-    normed = bands.select(F.col("parameter").alias("normed")).distinct()
-    if measured_bytes(normed) > joins.BROADCAST_BYTES:
-        return observations
-    same = F.col("observedProperty") == F.col("normed")
-    return observations.join(F.broadcast(normed), same, "left_semi")
-
-
-def match_bands(observations: DataFrame, bands: DataFrame) -> DataFrame:
+def match_bands(
+    observations: DataFrame, bands: DataFrame, bands_bytes: int | None = None
+) -> DataFrame:
     """Observations joined to every absolute band of their system and property they lie in.
 
     An observation in several bands gives several rows.  A band open on both sides matches every
-    observation, also one without a number.
+    observation, also one without a number.  ``bands_bytes`` is an upper bound of the size of the
+    bands, if there is one; within the bound for broadcasts the observations are not shuffled.
     """
     in_band = inside_band(F.col(VALUE), F.col("minValue"), F.col("maxValue"))
     on = [("hasFeatureOfInterest", "lzsid"), ("observedProperty", "parameter")]
-    size = measured_bytes(bands)
-    if size > joins.BROADCAST_BYTES:
-        # The observations will be shuffled: leave those out that no band is about.
-        observations = _with_normed_property(observations, bands)
-    return spread_join(observations, bands, on, where=in_band, right_bytes=size)
+    return spread_join(observations, bands, on, where=in_band, right_bytes=bands_bytes)
 
 
-def alarm_report(observations: DataFrame, bands: DataFrame, as_of: str | None = None) -> DataFrame:
+def alarm_report(
+    observations: DataFrame,
+    bands: DataFrame,
+    as_of: str | None = None,
+    bands_bytes: int | None = None,
+) -> DataFrame:
     """One flat row per alarm: measured value, reference value and bounds."""
     wanted = bands.select(
-        "lzsid", "bbid", "parameter", "referentiewaarde", "scopeNote", "minValue", "maxValue"
+        "lzsid",
+        "bbid",
+        "parameter",
+        "operating_no",
+        "referentiewaarde",
+        "scopeNote",
+        "minValue",
+        "maxValue",
     )
-    matched = match_bands(observations, wanted)
+    matched = match_bands(observations, wanted, bands_bytes)
     return matched.select(
-        alarm_key(F.col("_id"), F.col("resultTime"), F.col("bbid")).alias("_id"),
+        _key("bbid").alias("_id"),
         "hasFeatureOfInterest",
         "observedProperty",
         now_or(as_of).cast("date").alias("resultTime"),
@@ -63,13 +68,15 @@ def alarm_report(observations: DataFrame, bands: DataFrame, as_of: str | None =
 
 
 def alarm_report_nested(
-    observations: DataFrame, bands: DataFrame, as_of: str | None = None
+    observations: DataFrame,
+    bands: DataFrame,
+    as_of: str | None = None,
+    bands_bytes: int | None = None,
 ) -> DataFrame:
-    """The flat report on bands of :func:`resolve_bands_nested`, which carry no band id."""
-    matched = match_bands(observations, bands)
-    key = alarm_key(F.col("_id"), F.col("resultTime"), F.col("label"))
+    """The flat report on bands of :func:`resolve_bands_nested`, whose ids hash all their fields."""
+    matched = match_bands(observations, bands, bands_bytes)
     return matched.select(
-        F.concat(F.lit("observation:"), key).alias("_id"),
+        F.concat(F.lit("observation:"), _key("bbid")).alias("_id"),
         F.lit("sosa:Observation").alias("_type"),
         "hasFeatureOfInterest",
         "observedProperty",
@@ -90,6 +97,7 @@ def alarm_observations(
     shape: str = "compact",
     id_mode: str = "hash",
     as_of: str | None = None,
+    bands_bytes: int | None = None,
 ) -> DataFrame:
     """Alarms as derived observations with provenance, one per observation and band.
 
@@ -99,12 +107,13 @@ def alarm_observations(
     """
     if shape not in ("compact", "extended") or id_mode not in ("hash", "uuid"):
         raise ValueError("shape is compact or extended, id_mode is hash or uuid")
-    wanted = bands.select("lzsid", "bbid", "parameter", "type", "scopeNote", "minValue", "maxValue")
-    matched = match_bands(observations, wanted)
+    wanted = bands.select(
+        "lzsid", "bbid", "parameter", "operating_no", "type", "scopeNote", "minValue", "maxValue"
+    )
+    matched = match_bands(observations, wanted, bands_bytes)
 
     def name(prefix: str) -> Column:
-        key = alarm_key(F.col("_id"), F.col("resultTime"), F.col("bbid"))
-        return F.concat(F.lit(prefix), F.uuid() if id_mode == "uuid" else key)
+        return F.concat(F.lit(prefix), F.uuid() if id_mode == "uuid" else _key("bbid"))
 
     kind = F.lit("sosa:Result")
     dimensions = []

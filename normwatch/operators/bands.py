@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from normwatch.functions import record_key
 from normwatch.operators.joins import spread_join
 
 
@@ -37,8 +38,9 @@ def reference_value(operating: str) -> Column:
 
 
 def operating_properties(systems: DataFrame) -> DataFrame:
-    """One row per system and operating property; systems without any have no row."""
-    each = F.explode("hasOperatingRange.hasOperatingProperty").alias("operating")
+    """One row per system and operating property, with its place in the list (``operating_no``);
+    systems without any have no row."""
+    each = F.posexplode("hasOperatingRange.hasOperatingProperty").alias("operating_no", "operating")
     return systems.select(F.col("_id").alias("operating_of"), each)
 
 
@@ -73,12 +75,17 @@ def with_operating_property(
     and no second join is needed.
     """
     if unique_ids:
-        same = F.filter("operating_list", lambda op: op["forProperty"] == F.col("parameter"))
+        numbered = F.transform(
+            "operating_list", lambda op, i: F.struct(i.alias("operating_no"), op.alias("operating"))
+        )
+        same = F.filter(numbered, lambda n: n["operating"]["forProperty"] == F.col("parameter"))
         kept = [c for c in banded.columns if c != "operating_list"]
-        return banded.select(*kept, F.explode_outer(same).alias("operating"))
+        found = banded.select(*kept, F.explode_outer(same).alias("found"))
+        return found.select(*kept, "found.operating_no", "found.operating")
     lookup = operating_properties(systems).select(
         "operating_of",
         F.col("operating.forProperty").alias("operating_for"),
+        "operating_no",
         "operating",
     )
     on = [("lzsid", "operating_of"), ("parameter", "operating_for")]
@@ -108,6 +115,7 @@ def resolve_bands(
         "lzsid",
         "bbid",
         "parameter",
+        "operating_no",
         reference_value("operating").alias("referentiewaarde"),
         "minValueNormBandbreedte",
         "maxValueNormBandbreedte",
@@ -130,10 +138,11 @@ def resolve_bands(
 
 
 def flat_bands(norms: DataFrame) -> DataFrame:
-    """Norms with a nested list of bands as one row per band."""
+    """Norms with a nested list of bands as one row per band; the id hashes all its fields."""
     each = norms.select("klasse", "parameter", F.explode("bandbreedtes").alias("band"))
+    key = record_key("klasse", "parameter", F.col("band"))
     return each.select(
-        F.lit(None).cast("string").alias("id"),
+        key.alias("id"),
         F.col("klasse").alias("subject"),
         F.col("parameter").alias("forProperty"),
         F.col("band.label").alias("prefLabel"),
@@ -161,7 +170,9 @@ def resolve_bands_nested(systems: DataFrame, norms: DataFrame, **options) -> Dat
     )
     return resolve_bands(same_shape, flat_bands(norms), **options).select(
         "lzsid",
+        "bbid",
         "parameter",
+        "operating_no",
         "referentiewaarde",
         F.col("minValueNormBandbreedte").alias("relatieveMinValueNormBandbreedte"),
         F.col("maxValueNormBandbreedte").alias("relatieveMaxValueNormBandbreedte"),

@@ -1,29 +1,32 @@
 """Framing: triples regrouped to one nested record per subject.
 
-Each level of a frame first drops the triples of other predicates, then groups by subject once.
-The type is checked on the grouped records, and embedded records are joined last, to the records
-that are left.
+Subjects are chosen before anything is grouped: those of the wanted type, and for embedded records
+those that a chosen record links to.  Each level then drops the triples of other predicates and
+groups by subject once.  A single-valued field takes the least of its values, which is combined
+before the shuffle and has a fixed size; only fields declared ``many`` gather sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from normwatch.operators.joins import UNBOUNDED, spread_join
+from normwatch.operators.joins import spread_join
 from normwatch.operators.triples import RDF_TYPE
 
+# Names the single-valued fields of a record that had several values.
+SEVERAL = "_several"
+
 
 @dataclass(frozen=True)
 class Field:
     """A field of a framed record.
 
-    ``many`` gives an array of all values; otherwise more than one value is an error rather than
-    silently dropped.  ``kind`` keeps only objects of that ``o_kind``.  ``embed`` replaces the
-    object by its own record.
+    ``many`` gives an array of all values.  ``kind`` keeps only objects of that ``o_kind``.
+    ``embed`` replaces the object by its own record.
     """
 
     predicate: str
@@ -35,61 +38,55 @@ class Field:
 
 @dataclass(frozen=True)
 class Frame:
+    """``type_`` keeps subjects of that type; ``types`` adds the types as ``_type``."""
+
     fields: Mapping[str, Field] = field(default_factory=dict)
     type_: str | None = None
+    types: bool = True
 
 
-def _one(values: Column, name: str) -> Column:
-    several = F.raise_error(F.lit(f"several values for {name}; declare the field as many"))
-    return F.when(F.size(values) > 1, several).otherwise(F.get(values, F.lit(0)))
+def _of_type(triples: DataFrame, type_: str) -> DataFrame:
+    is_type = (F.col("p") == RDF_TYPE) & (F.col("o") == type_) & (F.col("o_kind") == "iri")
+    return triples.where(is_type).select(F.col("s").alias("chosen"))
 
 
-def _records(triples: DataFrame, spec: Frame) -> DataFrame:
+def _records(rows: DataFrame, spec: Frame, several: str) -> DataFrame:
     """Records of one level, with links where other records will be embedded."""
-    predicates = sorted({RDF_TYPE, *(item.predicate for item in spec.fields.values())})
-    rows = triples.where(F.col("p").isin(predicates))
-    # One set per subject; copies of a triple are combined before the shuffle.
-    held = F.collect_set(F.struct("p", "o", "o_kind")).alias("held")
-    grouped = rows.groupBy("s").agg(held)
-
-    def values(predicate: str, kind: str | None = None) -> Column:
-        def chosen(item: Column) -> Column:
-            match = item["p"] == predicate
-            return match if kind is None else match & (item["o_kind"] == kind)
-
-        found = F.transform(F.filter("held", chosen), lambda item: item["o"])
-        return F.array_sort(F.array_distinct(found))
-
-    columns = []
+    columns, doubled = [], []
+    if spec.types:
+        types = F.collect_set(F.when(F.col("p") == RDF_TYPE, F.col("o")))
+        columns.append(F.array_sort(types).alias("_type"))
     for name, item in spec.fields.items():
-        value = values(item.predicate, item.kind)
-        if not item.many:
-            value = _one(value, name)
-        if item.cast is not None:
-            value = value.cast(f"array<{item.cast}>") if item.many else value.try_cast(item.cast)
+        match = F.col("p") == item.predicate
+        if item.kind is not None:
+            match = match & (F.col("o_kind") == item.kind)
+        found = F.when(match, F.col("o"))
+        if item.many:
+            value = F.array_sort(F.collect_set(found))
+            value = value if item.cast is None else value.cast(f"array<{item.cast}>")
+        else:
+            value = F.min(found)
+            differ = F.min(found) != F.max(found)
+            if several == "error":
+                told = F.raise_error(F.lit(f"several values for {name}; declare it as many"))
+                value = F.when(differ, told).otherwise(value)
+            doubled.append(F.when(differ, F.lit(name)))
+            value = value if item.cast is None else value.try_cast(item.cast)
         columns.append(value.alias(name))
-    if spec.type_ is not None:
-        is_type = F.struct(
-            F.lit(RDF_TYPE).alias("p"), F.lit(spec.type_).alias("o"), F.lit("iri").alias("o_kind")
-        )
-        grouped = grouped.where(F.array_contains("held", is_type))
-    return grouped.select(F.col("s").alias("_id"), values(RDF_TYPE).alias("_type"), *columns)
+    if several == "report":
+        names = F.array_compact(F.array(*doubled)) if doubled else F.array().cast("array<string>")
+        columns.append(F.when(F.size(names) > 0, names).alias(SEVERAL))
+    return rows.groupBy(F.col("s").alias("_id")).agg(*columns)
 
 
-def _embedded(
-    records: DataFrame, name: str, item: Field, inner: DataFrame, triples: DataFrame
-) -> DataFrame:
+def _embedded(records: DataFrame, name: str, item: Field, inner: DataFrame) -> DataFrame:
     """Replace the links in column ``name`` by the records they lead to."""
     node = F.struct(*inner.columns).alias("node")
     nodes = inner.select(F.col("_id").alias("node_id"), node)
     each = records
     if item.many:
         each = records.withColumn(name, F.explode_outer(name))
-    # Hot links are looked for among the triples, which costs no shuffle.
-    links = triples.where(F.col("p") == item.predicate).select(F.col("o").alias(name))
-    joined = spread_join(
-        each, nodes, [(name, "node_id")], how="left", right_bytes=UNBOUNDED, hot_in=links
-    )
+    joined = spread_join(each, nodes, [(name, "node_id")], how="left")
     if not item.many:
         return joined.withColumn(name, F.col("node")).select(*records.columns)
     others = [c for c in records.columns if c not in ("_id", name)]
@@ -99,16 +96,40 @@ def _embedded(
     return again.select("_id", "others.*", name).select(*records.columns)
 
 
-def frame(triples: DataFrame, spec: Frame) -> DataFrame:
+def frame(triples: DataFrame, spec: Frame, several: str = "report") -> DataFrame:
     """One record per subject: ``_id``, ``_type`` (array) and the fields of the frame.
 
     With ``spec.type_`` only subjects of that type are kept.  Subjects that have none of the
-    predicates of the frame do not appear.
+    predicates of the frame do not appear.  ``several`` says what becomes of several values of a
+    single-valued field: ``report`` takes the least and names the field in ``_several`` (else NULL),
+    ``array`` makes an array of every field, ``error`` fails.
     """
-    records = _records(triples, spec)
+    if several not in ("report", "array", "error"):
+        raise ValueError("several is report, array or error")
+    if several == "array":
+        fields = {name: replace(item, many=True) for name, item in spec.fields.items()}
+        spec = replace(spec, fields=fields)
+    return _frame(triples, spec, several, None)
+
+
+def _frame(
+    triples: DataFrame, spec: Frame, several: str, chosen: DataFrame | None
+) -> DataFrame:
+    predicates = {item.predicate for item in spec.fields.values()}
+    if spec.types or spec.type_ is not None:
+        predicates.add(RDF_TYPE)
+    rows = triples.where(F.col("p").isin(sorted(predicates)))
+    for wanted in (chosen, None if spec.type_ is None else _of_type(triples, spec.type_)):
+        if wanted is not None:
+            rows = spread_join(rows, wanted, [("s", "chosen")], how="left_semi")
+    records = _records(rows, spec, several)
     for name, item in spec.fields.items():
-        if item.embed is not None:
-            records = _embedded(records, name, item, frame(triples, item.embed), triples)
+        if item.embed is None:
+            continue
+        links = None
+        if chosen is not None or spec.type_ is not None:
+            links = rows.where(F.col("p") == item.predicate).select(F.col("o").alias("chosen"))
+        records = _embedded(records, name, item, _frame(triples, item.embed, several, links))
     return records
 
 
@@ -121,6 +142,7 @@ OBSERVATION_FRAME = Frame(
         "result": Field(
             "sosa:hasResult",
             embed=Frame(
+                types=False,
                 fields={
                     "eenheid": Field("http://qudt.org/schema/qudt/unit"),
                     "kwalitatieve_waarde": Field("rdf:value", kind="iri"),

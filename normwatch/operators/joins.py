@@ -1,18 +1,19 @@
-"""Joins that hold up when a side is large and a key is hot.
+"""Joins whose strategy follows from what is known, without running the data to find out.
 
-``spread_join`` takes the cheapest way that is safe for the *measured* size of the right side:
+``spread_join`` never starts a job.  It has three ways:
 
-1. it fits the bound: broadcast it, the left side is not shuffled at all;
-2. it does not: shuffle both sides on the key.  Keys that hold many left rows (and NULL keys of an
-   outer join) are spread over several salts, the matching right rows are copied once per salt.
-   All other keys are shuffled as they are.
+1. the right side is declared to fit (``right_bytes``): it is broadcast, the left is not shuffled;
+2. hot keys are given: their rows are spread over salts, the rows they meet are copied per salt;
+3. else it is a plain join: Spark broadcasts a side that its statistics or the running query show to
+   be small, and splits partitions that turn out to be skewed.
 
-Either way every pair is produced exactly once; only the placement of the rows differs.
+Hot keys are worth the trouble where an aggregate on the key follows, which keeps Spark from
+splitting.  ``hot_keys`` counts them, exactly and without a limit on their number; take it once, of
+a stored table, and pass it on.  Whichever way is taken, every pair is produced exactly once.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -21,27 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Left rows of one key that one task should get at most.
+# Rows of one key that one task should get at most.
 HOT_KEY_ROWS = 5_000_000
-HOT_KEYS = 1_000
-_TRACKED_KEYS = 20_000
-# For a right side known to be as large as the data: it is not worth measuring.
-UNBOUNDED = sys.maxsize
+# The entry of rows without a key among hot keys.
+NO_KEY = None
 
-
-def measured_bytes(df: DataFrame) -> int:
-    """Approximate in-memory size, by one distributed aggregate over the rows of ``df``."""
-
-    def width(field: T.StructField) -> Column:
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            return F.coalesce(F.octet_length(col), F.lit(0)) + 16
-        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.coalesce(F.octet_length(F.to_json(F.array(col))), F.lit(0)) * 2 + 32
-        return F.lit(16)
-
-    row = reduce(lambda a, b: a + b, [width(f) for f in df.schema], F.lit(16))
-    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("n")).first()["n"]
+HotKeys = Mapping[int | None, int]
 
 
 def driver_bytes(rows: Iterable[tuple]) -> int:
@@ -49,25 +35,19 @@ def driver_bytes(rows: Iterable[tuple]) -> int:
     return sum(16 + sum(16 + len(str(value)) for value in row) for row in rows)
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether the measured size of ``df`` lies within the bound for a broadcast."""
-    if df.isStreaming:
-        return False
-    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> dict[int, int]:
-    """Hashes of the keys with at least ``min_rows`` rows, with their (estimated) row counts.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = None
+) -> dict[int | None, int]:
+    """Hashes of the keys with at least ``min_rows`` rows, and their row counts.
 
-    A frequent-items sketch finds them in one pass without a shuffle by key.  At most ``HOT_KEYS``
-    are returned; a key left out holds less than that fraction of the rows.
+    Rows that lack part of the key count under ``NO_KEY``.  Counts are combined before the shuffle.
+    At most (rows of ``df``) / ``min_rows`` keys come back.
     """
-    top = F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {_TRACKED_KEYS})")
-    present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    hashed = df.where(present).select(F.xxhash64(*keys).alias("key_hash"))
-    found = hashed.agg(top.alias("top")).first()["top"] or []
     least = HOT_KEY_ROWS if min_rows is None else min_rows
-    return {item["item"]: item["count"] for item in found if item["count"] >= least}
+    present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    hashed = df.select(F.when(present, F.xxhash64(*keys)).alias("key_hash"))
+    counts = hashed.groupBy("key_hash").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return {row["key_hash"]: row["n"] for row in counts.collect()}
 
 
 def spread_join(
@@ -78,81 +58,78 @@ def spread_join(
     where: Column | None = None,
     right_bytes: int | None = None,
     broadcast_bytes: int | None = None,
+    hot: HotKeys | None = None,
+    hot_right: HotKeys | None = None,
     hot_rows: int | None = None,
-    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal columns ``on`` (pairs left, right) and an optional residual condition.
 
     Column names of the two sides must be disjoint.  ``how`` is inner, left, left_semi or
-    left_anti.  ``right_bytes`` is given where the size of the right side is known; else it is
-    measured.  Hot keys are looked for in ``hot_in`` if given: a cheaper table than ``left`` with
-    the same key columns and about the same distribution.
+    left_anti.  ``right_bytes`` is an upper bound the caller vouches for.  ``hot`` and ``hot_right``
+    are hot keys of the two sides; those of the right only in an inner join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
+    if hot_right and how != "inner":
+        raise ValueError("only an inner join can copy rows of the left side")
     match = [F.col(a) == F.col(b) for a, b in on]
     if where is not None:
         match.append(where)
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    if right_bytes is None:
-        small = fits_broadcast(right, limit)
-    else:
-        small = right_bytes <= limit
-    if small:
+    if right_bytes is not None and right_bytes <= limit:
         return left.join(F.broadcast(right), reduce(Column.__and__, match), how)
-    if left.isStreaming or right.isStreaming:
-        return left.join(right, reduce(Column.__and__, match), how)
-
-    left_keys = [a for a, _ in on]
     least = HOT_KEY_ROWS if hot_rows is None else hot_rows
-    found = hot_keys(left if hot_in is None else hot_in, left_keys, least)
-    tiers = _tiers(left, found, least)
-    null_salts = _most_salts(left) if how in ("left", "left_anti") else 1
-    if not tiers and null_salts == 1:
+    own = {k: -(-n // least) for k, n in (hot or {}).items() if n > least}
+    other = {k: -(-n // least) for k, n in (hot_right or {}).items() if n > least}
+    if how not in ("left", "left_anti"):
+        # Rows without a key meet nothing and are dropped before the shuffle.
+        own.pop(NO_KEY, None)
+    other.pop(NO_KEY, None)
+    if not own and not other:
         return left.join(right, reduce(Column.__and__, match), how)
 
     # Both sides must agree on the hash, so the right keys are hashed in the type of the left.
+    left_hash = F.xxhash64(*[F.col(a) for a, _ in on])
     right_hash = F.xxhash64(*[F.col(b).cast(left.schema[a].dataType) for a, b in on])
-    salted = left.withColumn("salt_l", _left_salt(left, left_keys, tiers, null_salts))
-    if tiers:
-        salts = F.sequence(F.lit(0), _salts_of(right_hash, tiers) - 1)
-        copies = right.select("*", F.explode(salts).alias("salt_r"))
-    else:
-        # Always 0; a literal would be folded away and the salt lost as a shuffle key.
-        copies = right.withColumn("salt_r", F.pmod(right_hash, F.lit(1)).cast("int"))
-    match.append(F.col("salt_l") == F.col("salt_r"))
-    return salted.join(copies, reduce(Column.__and__, match), how).drop("salt_l", "salt_r")
-
-
-def _most_salts(df: DataFrame) -> int:
-    # More salts than shuffle partitions would copy rows without spreading them further.
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def _tiers(df: DataFrame, hot: Mapping[int, int], least: int) -> dict[int, list[int]]:
-    """Hot keys by the number of salts they need, in powers of four."""
-    most = _most_salts(df)
-    tiers: dict[int, list[int]] = {}
-    for key, rows in hot.items():
-        salts = 4
-        while salts * least < rows:
-            salts *= 4
-        tiers.setdefault(min(salts, most), []).append(key)
-    return tiers
-
-
-def _salts_of(key_hash: Column, tiers: Mapping[int, list[int]]) -> Column:
-    picks = [F.when(key_hash.isin(keys), F.lit(salts)) for salts, keys in sorted(tiers.items())]
+    for name, mine, copies in (("x", own, "right"), ("y", other, "left")):
+        if not mine:
+            continue
+        spread, copied = (left, right) if copies == "right" else (right, left)
+        spread_hash, copied_hash = (
+            (left_hash, right_hash) if copies == "right" else (right_hash, left_hash)
+        )
+        keys = [a for a, _ in on] if copies == "right" else [b for _, b in on]
+        spread = spread.withColumn(f"salt_{name}", _salt(spread, spread_hash, keys, mine))
+        numbers = F.sequence(F.lit(0), _salts_of(copied_hash, mine) - 1)
+        copied = copied.withColumn(f"salted_{name}", F.explode(numbers))
+        left, right = (spread, copied) if copies == "right" else (copied, spread)
+        match.append(F.col(f"salt_{name}") == F.col(f"salted_{name}"))
+    joined = left.join(right, reduce(Column.__and__, match), how)
+    return joined.drop("salt_x", "salted_x", "salt_y", "salted_y")
+
+
+def _salts_of(key_hash: Column, salts: Mapping[int | None, int]) -> Column:
+    """The number of salts of a key: a lookup in a table of the keys, 1 for all others."""
+    known = {k: n for k, n in salts.items() if k is not NO_KEY}
+    if not known:
+        return F.lit(1)
+    by_number: dict[int, list[int]] = {}
+    for key, number in known.items():
+        # Powers of two keep the number of branches small.
+        by_number.setdefault(1 << (number - 1).bit_length(), []).append(key)
+    picks = [F.when(key_hash.isin(keys), F.lit(n)) for n, keys in sorted(by_number.items())]
     return F.coalesce(*picks, F.lit(1))
 
 
-def _left_salt(
-    left: DataFrame, keys: Sequence[str], tiers: Mapping[int, list[int]], null_salts: int
+def _salt(
+    rows: DataFrame, key_hash: Column, keys: Sequence[str], salts: Mapping[int | None, int]
 ) -> Column:
-    salts = _salts_of(F.xxhash64(*keys), tiers)
-    if null_salts > 1:
-        has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-        salts = F.when(has_null, F.lit(null_salts)).otherwise(salts)
-    # The partition number spreads equal copies of a row; a retried task gets the same number.
-    row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
-    return F.when(salts > 1, F.pmod(row_hash, salts).cast("int")).otherwise(F.lit(0))
+    number = _salts_of(key_hash, salts)
+    if NO_KEY in salts:
+        # Rows without a key meet nothing, so their salt need not exist on the other side.
+        missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        number = F.when(missing, F.lit(salts[NO_KEY])).otherwise(number)
+    plain = [f.name for f in rows.schema if isinstance(f.dataType, T.AtomicType)]
+    # The task number spreads equal copies of a row; a retried task gets the same number.
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in plain])
+    return F.when(number > 1, F.pmod(row_hash, number).cast("int")).otherwise(F.lit(0))

@@ -9,7 +9,7 @@ Kinds:
 ``match``         reports a number between ``lo`` and ``hi``; NULL is open; each end is strict
                   unless marked inclusive
 ``has_value``     reports unless the field equals ``operand``
-``decimal``       reports text that is not a decimal number
+``decimal``       reports text that is not written as a number
 ``min_exclusive`` reports unless the number is above ``lo``
 ``less_than``     reports unless the field is less than ``other`` (numbers, else moments)
 ``none``          a severity level without a check; reports nothing
@@ -25,7 +25,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from normwatch.functions import expand_iri, instant, now_or, rule_alarm_key, to_decimal
+from normwatch.functions import (
+    compared,
+    expand_iri,
+    instant,
+    is_number,
+    now_or,
+    rule_alarm_key,
+    to_number,
+)
 from normwatch.operators.joins import driver_bytes, spread_join
 from normwatch.session import literal_table
 
@@ -68,15 +76,18 @@ class Rule:
 
 _RULE_COLUMNS = (
     "rule_id string, severity string, message string, kind string, target string, field string, "
-    "lo decimal(38,10), hi decimal(38,10), lo_inclusive boolean, hi_inclusive boolean, "
+    "lo string, hi string, lo_inclusive boolean, hi_inclusive boolean, "
     "operand string, other string"
 )
 
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule that checks something; rules for every property have target ``*``."""
+    # Limits keep the digits they were given with.
     rows = [
-        astuple(rule)[:4] + (rule.target or ANY_PROPERTY,) + astuple(rule)[5:]
+        tuple(f"{v:f}" if isinstance(v, Decimal) else v for v in astuple(rule)[:4])
+        + (rule.target or ANY_PROPERTY,)
+        + tuple(f"{v:f}" if isinstance(v, Decimal) else v for v in astuple(rule)[5:])
         for rule in rules
         if rule.kind != "none"
     ]
@@ -106,17 +117,19 @@ def _violation(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
         return F.col(fields[name]).cast("string")
 
     def number(name: str) -> Column:
-        return to_decimal(F.col(fields[name]))
+        return to_number(F.col(fields[name]))
 
     def moment(name: str) -> Column:
         return instant(text(name))
 
-    lo, hi = F.col("lo"), F.col("hi")
+    lo, hi = to_number(F.col("lo")), to_number(F.col("hi"))
 
     def matches() -> Column:
         value = _pick(F.col("field"), names, number)
-        above = lo.isNull() | (value > lo) | (F.col("lo_inclusive") & (value == lo))
-        below = hi.isNull() | (value < hi) | (F.col("hi_inclusive") & (value == hi))
+        at_lo = F.col("lo_inclusive") & compared(value, lo, Column.__eq__)
+        at_hi = F.col("hi_inclusive") & compared(value, hi, Column.__eq__)
+        above = F.col("lo").isNull() | compared(value, lo, Column.__gt__) | at_lo
+        below = F.col("hi").isNull() | compared(value, hi, Column.__lt__) | at_hi
         return value.isNotNull() & above & below
 
     def differs() -> Column:
@@ -124,17 +137,17 @@ def _violation(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
 
     def not_decimal() -> Column:
         value = _pick(F.col("field"), names, text)
-        return value.isNotNull() & to_decimal(value).isNull()
+        return value.isNotNull() & ~is_number(value)
 
     def not_above() -> Column:
         present = _pick(F.col("field"), names, text).isNotNull()
-        above = _pick(F.col("field"), names, number) > lo
+        above = compared(_pick(F.col("field"), names, number), lo, Column.__gt__)
         return present & ~F.coalesce(above, F.lit(False))
 
     def not_less() -> Column:
         a = [_pick(F.col("field"), names, of) for of in (text, number, moment)]
         b = [_pick(F.col("other"), others, of) for of in (text, number, moment)]
-        less = F.coalesce(a[1] < b[1], a[2] < b[2], F.lit(False))
+        less = F.coalesce(compared(a[1], b[1], Column.__lt__), a[2] < b[2], F.lit(False))
         return a[0].isNotNull() & b[0].isNotNull() & ~less
 
     tests = {
@@ -193,21 +206,23 @@ def validate(
 
 
 def join_report(report: DataFrame, observations: DataFrame) -> DataFrame:
-    """A bare report joined to the observations it is about.
+    """A bare report joined to the observations it is about, by id and time as written.
 
-    One id may occur at several times; a report that names the time is matched on it too.
+    One id may occur at several times, so a report without ``resultTime`` cannot be matched.
     """
+    if "resultTime" not in report.columns:
+        raise ValueError("the report needs resultTime beside focusNode")
+    report = report.select(
+        "focusNode", "resultSeverity", "resultMessage", F.col("resultTime").alias("focusTime")
+    )
     wanted = observations.select(
         F.col("_id").alias("source_id"),
         F.col("resultTime").alias("source_time"),
         F.col("hasFeatureOfInterest").alias("source_system"),
         F.col("observedProperty").alias("source_property"),
     )
-    on = [("focusNode", "source_id")]
-    if "resultTime" in report.columns:
-        on.append(("resultTime", "source_time"))
-    # The report is the smaller side; the observations are the side with hot keys.
-    joined = spread_join(wanted, report, [(b, a) for a, b in on])
+    on = [("source_id", "focusNode"), ("source_time", "focusTime")]
+    joined = spread_join(wanted, report, on)
     return joined.select(
         "focusNode",
         "resultSeverity",

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from normwatch.functions import record_key
 from normwatch.functions.iris import prefix_of, rest_of
-from normwatch.operators.joins import UNBOUNDED, spread_join
+from normwatch.operators.joins import spread_join
 from normwatch.sources.context import ID, PLAIN, Context
 from normwatch.session import literal_table
 
@@ -148,11 +149,8 @@ def to_triples(
     only subjects and objects to :func:`expand_iris`.  Rows are expanded in place, nothing is
     shuffled.
     """
-    if node_key is None:
-        identity = F.to_json(F.struct("*"))
-    else:
-        identity = F.concat_ws("|", *[F.col(k).cast("string") for k in node_key])
-    keyed = records.withColumn("node_key_", F.concat(F.lit("_:"), F.md5(identity.cast("binary"))))
+    identity = record_key(*(node_key or records.columns))
+    keyed = records.withColumn("node_key_", F.concat(F.lit("_:"), identity))
     node = F.col("node_key_")
     subject = F.coalesce(F.col("_id"), node) if "_id" in records.columns else node
     making = _Making(context, predicates, full_terms)
@@ -205,9 +203,8 @@ def subjects_of(triples: DataFrame, predicate: str, value: str | None = None) ->
 def path_values(triples: DataFrame, path: Sequence[str]) -> DataFrame:
     """``(s, o, o_kind, datatype)`` reached from each subject along a path of predicates.
 
-    Only triples of the predicates on the path take part.  Both sides of each step are as large as
-    the graph, so they are not measured; a side that turns out small at run time is broadcast by
-    the adaptive planner.
+    Only triples of the predicates on the path take part.  A side that turns out small or skewed at
+    run time is broadcast or split by the adaptive planner.
     """
 
     def step(predicate: str) -> DataFrame:
@@ -217,20 +214,35 @@ def path_values(triples: DataFrame, path: Sequence[str]) -> DataFrame:
     for predicate in path[1:]:
         start = reached.where(F.col("o_kind") != "literal").select("s", F.col("o").alias("via"))
         onward = step(predicate).withColumnRenamed("s", "via_s")
-        joined = spread_join(start, onward, [("via", "via_s")], right_bytes=UNBOUNDED)
+        joined = spread_join(start, onward, [("via", "via_s")])
         reached = joined.select("s", "o", "o_kind", "datatype")
     return reached
 
 
+# Characters that the grammar keeps out of IRIs, besides the control characters.
+_NOT_IN_IRI = ' <>"{}|^`\\\\'
+
+
+def _nt_iri(value: Column) -> Column:
+    """An IRI in angle brackets; what the grammar forbids is written as an escape."""
+    forbidden = "".join([*map(chr, range(0x20)), *_NOT_IN_IRI])
+    escaped = F.replace(value, F.lit("\\"), F.lit("\\u005C"))
+    for character in forbidden:
+        if character != "\\":
+            escaped = F.replace(escaped, F.lit(character), F.lit(f"\\u{ord(character):04X}"))
+    clean = ~F.rlike(value, F.lit(r'[\x00-\x20<>"{}|^`\\]'))
+    return F.concat(F.lit("<"), F.when(clean, value).otherwise(escaped), F.lit(">"))
+
+
 def _nt_term(value: Column, kind: Column) -> Column:
-    return F.when(kind == "bnode", value).otherwise(F.concat(F.lit("<"), value, F.lit(">")))
+    return F.when(kind == "bnode", value).otherwise(_nt_iri(value))
 
 
 def _nt_literal(value: Column, datatype: Column) -> Column:
     escaped = value
     for raw, written in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
         escaped = F.replace(escaped, F.lit(raw), F.lit(written))
-    suffix = F.coalesce(F.concat(F.lit("^^<"), datatype, F.lit(">")), F.lit(""))
+    suffix = F.coalesce(F.concat(F.lit("^^"), _nt_iri(datatype)), F.lit(""))
     return F.concat(F.lit('"'), escaped, F.lit('"'), suffix)
 
 
@@ -241,5 +253,5 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
         _nt_term(o, kind)
     )
     subject = _nt_term(F.col("s"), _reference_kind(F.col("s")))
-    predicate = F.concat(F.lit("<"), F.col("p"), F.lit(">"))
+    predicate = _nt_iri(F.col("p"))
     return triples.select(F.concat_ws(" ", subject, predicate, object_, F.lit(".")).alias("value"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ from normwatch.operators.codelists import (
     leaf_concepts,
     typed_concepts,
 )
-from normwatch.operators.frames import OBSERVATION_FRAME, alarm_frame, frame
+from normwatch.operators.frames import OBSERVATION_FRAME, Frame, alarm_frame, frame
 from normwatch.operators.rules import (
     construct_alarms,
     merge_alarms,
@@ -49,7 +51,8 @@ from normwatch.operators.triples import (
 )
 from normwatch.plans import testviews as tv
 from normwatch.plans.band_alarms import absolute_bands_sql, alarm_report_sql, run_band_alarms
-from normwatch.plans.rule_alarms import alarm_triples
+from normwatch.plans.code_lists import run_code_lists
+from normwatch.plans.rule_alarms import alarm_triples, run_rule_alarms
 from normwatch.session import scratch_path
 from normwatch.sinks import round_trip_parquet, write_json
 from normwatch.sources import from_json_text, read_json, read_observations, unwrap_envelope
@@ -80,6 +83,10 @@ def absolute_bands(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_bands(tv.systems(spark, sf), tv.bands(spark), unique_ids=True)
 
 
+def without_numbers(bands: DataFrame) -> DataFrame:
+    return bands.drop("operating_no")
+
+
 def observation_triples(spark: SparkSession, sf: str, *predicates: str) -> DataFrame:
     return to_triples(tv.observations(spark, sf), tv.CONTEXT, tv.NODE_KEY, predicates or None)
 
@@ -98,6 +105,18 @@ def q01_json_declared_schema(spark, sf):
     return flat_observations(read_observations(spark, path, multiline=False))
 
 
+@query
+def q01_multiline_json(spark, sf):
+    # One file per document, each an array over several lines.
+    rows = tv.observations(spark, sf)
+    block = F.floor(F.substring_index("_id", ":", -1).cast("long") / 500)
+    documents = rows.groupBy(block.alias("block")).agg(F.collect_list(F.struct(*rows.columns)).alias("r"))
+    text = F.replace(F.to_json("r"), F.lit("},{"), F.lit("},\n{"))
+    path = scratch_path(spark, "documents")
+    documents.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    return flat_observations(read_observations(spark, path, multiline=True))
+
+
 @query
 def q02_parquet_round_trip(spark, sf):
     return round_trip_parquet(tv.table(spark, sf, "lineitem"), scratch_path(spark, "lineitem"))
@@ -150,6 +169,21 @@ def q06_json_by_date(spark, sf):
     return read_json(spark, path, report.schema, multiline=False)
 
 
+@query
+def q05_single_file(spark, sf):
+    """What is read back of a report written as one JSON file, and the number of its files."""
+    path = scratch_path(spark, "single")
+    report = alarm_report(tv.observations(spark, sf), absolute_bands(spark, sf), tv.AS_OF)
+    write_json(report, path, single_file=True)
+    read = read_json(spark, path, report.schema, multiline=False)
+    file = F.input_file_name().alias("file")
+    return read.select(file, "_id").agg(
+        F.count("*").alias("alarms"),
+        F.countDistinct("_id").alias("ids"),
+        F.countDistinct("file").alias("files"),
+    )
+
+
 # Projections, generators, filters
 
 
@@ -186,6 +220,26 @@ def q12_band_concepts(spark, sf):
     return band_concepts(tv.codes(spark, sf), "scheme:LARGE", ignore_types=["LARGE", "Brand#3"])
 
 
+@query
+def q12_code_list_job(spark, sf):
+    """All slices of the code list as the whole job writes them, the list cached for its passes."""
+    paths = run_code_lists(
+        tv.codes(spark, sf),
+        scratch_path(spark, "codes"),
+        class_scheme="scheme:SMALL",
+        property_scheme="scheme:PROMO",
+        band_scheme="scheme:LARGE",
+        property_type="Brand#7",
+        scheme_type="Brand#1",
+        cache=True,
+    )
+    parts = [
+        spark.read.parquet(path).select(F.lit(name).alias("slice"), "id")
+        for name, path in sorted(paths.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def q13_with_column(spark, sf):
     rows = tv.table(spark, sf, "lineitem").select(
@@ -222,24 +276,26 @@ def q15_bands_with_operating(spark, sf):
 
 @query
 def q16_absolute_bands(spark, sf):
-    return absolute_bands(spark, sf)
+    return without_numbers(absolute_bands(spark, sf))
 
 
 @query
 def q16_absolute_bands_sql(spark, sf):
-    return absolute_bands_sql(spark, tv.systems(spark, sf), tv.bands(spark))
+    return without_numbers(absolute_bands_sql(spark, tv.systems(spark, sf), tv.bands(spark)))
 
 
 @query
 def q16_absolute_bands_resolved(spark, sf):
-    return resolve_bands(
+    rows = resolve_bands(
         tv.systems(spark, sf), tv.bands(spark), unresolved="skip", unknown_op="absolute"
     )
+    return without_numbers(rows)
 
 
 @query
 def q17_absolute_bands_nested(spark, sf):
-    return resolve_bands_nested(tv.systems_nested(spark, sf), tv.norms_nested(spark))
+    rows = resolve_bands_nested(tv.systems_nested(spark, sf), tv.norms_nested(spark))
+    return without_numbers(rows).drop("bbid")
 
 
 @query
@@ -252,6 +308,11 @@ def q18_classes_for_concept(spark, sf):
     return classes_for_concept(tv.codes(spark, sf))
 
 
+@query
+def q18_classes_of_one_concept(spark, sf):
+    return classes_for_concept(tv.codes(spark, sf), "code:5", separator=", ")
+
+
 @query
 def q19_times(spark, sf):
     written = F.col("resultTime")
@@ -285,6 +346,24 @@ def q20_alarm_report_nested(spark, sf):
     return alarm_report_nested(tv.observations(spark, sf), bands, tv.AS_OF)
 
 
+def _counted(form: str, alarms: DataFrame) -> DataFrame:
+    ids = F.countDistinct("_id").alias("ids")
+    return alarms.agg(F.count("*").alias("alarms"), ids).select(F.lit(form).alias("form"), "*")
+
+
+@query
+def q20_distinct_ids(spark, sf):
+    """As many ids as alarms, with two operating properties for a parameter and without labels."""
+    rows = tv.observations(spark, sf)
+    flat = resolve_bands(tv.systems_with_two_limits(spark, sf), tv.bands(spark))
+    bare = resolve_bands_nested(
+        tv.systems_nested(spark, sf), tv.norms_without_labels(spark), unique_ids=True
+    )
+    return _counted("flat", alarm_report(rows, flat, tv.AS_OF)).unionByName(
+        _counted("nested", alarm_report_nested(rows, bare, tv.AS_OF))
+    )
+
+
 def _flat_alarms(alarms: DataFrame) -> DataFrame:
     outer = [c for c in alarms.columns if c not in ("result", "resultTime")]
     inner = []
@@ -312,7 +391,8 @@ def q22_alarms_extended(spark, sf):
 
 @query
 def q23_hashed_ids(spark, sf):
-    key = alarm_key(F.col("_id"), F.col("resultTime"), F.col("observedProperty"))
+    nothing = F.lit(None).cast("int")
+    key = alarm_key(F.col("_id"), F.col("resultTime"), F.col("observedProperty"), nothing)
     return tv.observations(spark, sf).select("_id", key.alias("key"))
 
 
@@ -324,12 +404,37 @@ def q24_alarms_uuid(spark, sf):
     return _flat_alarms(rows)
 
 
+@query
+def q24_uuid_facts(spark, sf):
+    """Of alarms with random ids and the clock: are the ids well formed and distinct, is the clock
+    that of the run?"""
+    begun = datetime.now(timezone.utc)
+    rows = run_band_alarms(
+        tv.systems(spark, sf),
+        tv.bands(spark),
+        tv.observations(spark, sf),
+        scratch_path(spark, "uuids"),
+        id_mode="uuid",
+        unique_ids=True,
+    )
+    form = "^(observation|result):[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    good = F.rlike("_id", F.lit(form)) & F.rlike("result._id", F.lit(form))
+    ended = datetime.now(timezone.utc)
+    in_run = F.col("resultTime").between(F.lit(begun), F.lit(ended))
+    return rows.agg(
+        F.count("*").alias("alarms"),
+        F.bool_and(good).alias("well_formed"),
+        (F.countDistinct("_id") == F.count("*")).alias("all_distinct"),
+        F.bool_and(in_run).alias("clock_of_run"),
+    )
+
+
 # Rules
 
 
 @query
 def q25_rule_targets(spark, sf):
-    triples = observation_triples(spark, sf)
+    triples = observation_triples(spark, sf, "sosa:observedProperty")
     having = subjects_of(triples, "sosa:observedProperty").select(
         F.lit("having").alias("target"), F.col("s").alias("focusNode")
     )
@@ -344,6 +449,11 @@ def q26_rule_report(spark, sf):
     return validate(tv.observations(spark, sf), tv.RULES)
 
 
+@query
+def q26_extreme_numbers(spark, sf):
+    return validate(tv.observations_with_extremes(spark, sf), tv.EXTREME_RULES)
+
+
 @query
 def q27_constraint_report(spark, sf):
     rows = tv.observations_with_ceiling(spark, sf)
@@ -373,7 +483,9 @@ def q28_constructed_alarms(spark, sf):
 @query
 def q28_constructed_alarms_joined(spark, sf):
     rows = tv.observations(spark, sf)
-    report = validate(rows, tv.RULES).select("focusNode", "resultSeverity", "resultMessage")
+    report = validate(rows, tv.RULES).select(
+        "focusNode", "resultSeverity", "resultMessage", "resultTime"
+    )
     alarms = construct_alarms(report, rows, prefixes=tv.PREFIXES, as_of=tv.AS_OF)
     return _flat_rule_alarms(alarms)
 
@@ -466,6 +578,44 @@ def q35_framed_alarms_json(spark, sf):
     return shown.select(F.to_json(F.struct("*")).alias("record"))
 
 
+@query
+def q34_framed_at_two_times(spark, sf):
+    rows = tv.observations_at_two_times(spark, sf)
+    fields = ("hasFeatureOfInterest", "observedProperty", "resultTime")
+    spec = Frame({name: OBSERVATION_FRAME.fields[name] for name in fields}, "sosa:Observation")
+    framed = frame(to_triples(rows, tv.CONTEXT, tv.NODE_KEY), spec)
+    return framed.select("_id", *fields, F.array_join("_several", ",").alias("several"))
+
+
+def _rule_job(spark, sf):
+    out = scratch_path(spark, "rules")
+    run_rule_alarms(
+        tv.observations(spark, sf), tv.RULES, out, tv.PREFIXES, tv.CONTEXT, as_of=tv.AS_OF
+    )
+    return out
+
+
+@query
+def q35_rule_job_json(spark, sf):
+    """The nested JSON of the whole rule job, read back."""
+    schema = (
+        "_id string, _type array<string>, hasFeatureOfInterest string, observedProperty string, "
+        "phenomenonTime string, wasInformedBy string, resultTime string, "
+        "result array<struct<message string>>"
+    )
+    rows = spark.read.schema(schema).json(f"{_rule_job(spark, sf)}/json")
+    messages = F.array_sort("result.message").alias("messages")
+    kept = [c for c in rows.columns if c != "result"]
+    return rows.select(*kept, messages).select(F.to_json(F.struct("*")).alias("record"))
+
+
+@query
+def q36_rule_job_ntriples(spark, sf):
+    """The N-Triples of the whole rule job, read back: statements that link alarms and sources."""
+    lines = spark.read.text(f"{_rule_job(spark, sf)}/ntriples")
+    return lines.where(F.contains("value", F.lit("#wasInformedBy> ")))
+
+
 @query
 def q36_ntriples(spark, sf):
     rows = tv.observations(spark, sf)

@@ -47,20 +47,20 @@ systems AS (
   SELECT 'system:' || c_custkey AS sys, c_mktsegment AS class, c_custkey AS k FROM customer),
 limits AS (
   SELECT sys, 'prop:click' AS prop, NULL::DOUBLE AS val, NULL::DOUBLE AS vmin,
-         (40 + k % 50)::DOUBLE AS vmax FROM systems
-  UNION ALL SELECT sys, 'prop:view', NULL, (10 + k % 20)::DOUBLE, NULL FROM systems
-  UNION ALL SELECT sys, 'prop:purchase', (30 + k % 40)::DOUBLE, NULL, NULL FROM systems)"""
+         (40 + k % 50)::DOUBLE AS vmax, 0 AS no FROM systems
+  UNION ALL SELECT sys, 'prop:view', NULL, (10 + k % 20)::DOUBLE, NULL, 1 FROM systems
+  UNION ALL SELECT sys, 'prop:purchase', (30 + k % 40)::DOUBLE, NULL, NULL, 2 FROM systems)"""
 PRICES = """
 systems AS (SELECT 'part:' || p_partkey AS sys, p_type AS class, p_retailprice FROM part),
 limits AS (
   SELECT sys, 'prop:unitprice' AS prop, p_retailprice AS val, NULL::DOUBLE AS vmin,
-         NULL::DOUBLE AS vmax FROM systems)"""
+         NULL::DOUBLE AS vmax, 0 AS no FROM systems)"""
 
 
 def _absolute(unknown: str = "NULL") -> str:
     return f"""
 absolute AS (
-  SELECT s.sys, b.id AS bbid, b.prop, COALESCE(l.val, l.vmin, l.vmax) AS ref,
+  SELECT s.sys, s.class, b.id AS bbid, b.prop, l.no, COALESCE(l.val, l.vmin, l.vmax) AS ref,
          b.lo AS rel_lo, b.hi AS rel_hi, b.op, b.kind, b.label, b.note,
          CASE WHEN b.op IS NULL THEN b.lo
               WHEN b.op = 'som' THEN COALESCE(l.vmax, l.val) + b.lo
@@ -76,13 +76,16 @@ absolute AS (
 
 MATCHED = """
 matched AS (
-  SELECT o.*, a.bbid, a.ref, a.kind, a.label, a.note, a.lo, a.hi,
-         md5(o.id || '-' || o.t || '-' || a.bbid) AS key
+  SELECT o.*, a.bbid, a.ref, a.kind, a.label, a.note, a.lo, a.hi, a.no, a.class,
+         a.rel_lo, a.rel_hi, a.op,
+         md5(to_json([o.id, o.t, a.bbid, a.no::VARCHAR])::VARCHAR) AS key
   FROM obs o JOIN absolute a ON o.foi = a.sys AND o.prop = a.prop
   WHERE (a.lo IS NULL OR o.num > a.lo) AND (a.hi IS NULL OR o.num < a.hi))"""
 
 _BANDED = ",".join([SYSTEMS, _bands(tv.BAND_ROWS), _absolute()])
 _ALARMS = ",".join([OBS, _BANDED, MATCHED])
+_NESTED_ID = """to_json({'klasse': class, 'parameter': prop, 'band': {'minValue': rel_lo,
+  'maxValue': rel_hi, 'operatie': op, 'label': label, 'type': kind, 'note': note}})::VARCHAR"""
 _ABSOLUTE_COLUMNS = """
   sys AS lzsid, bbid, prop AS parameter, ref AS referentiewaarde,
   rel_lo AS "minValueNormBandbreedte", rel_hi AS "maxValueNormBandbreedte", op AS operatie,
@@ -116,7 +119,7 @@ codes AS (
   FROM part, (SELECT list_value({", ".join(_value(s) for s in tv.SEGMENTS)}) AS seg))"""
 
 TRIPLES = """
-named AS (SELECT *, '_:' || md5(id || '|' || t) || '-result' AS node FROM obs),
+named AS (SELECT *, '_:' || md5(to_json({'_id': id, 'resultTime': t})::VARCHAR) || '-result' AS node FROM obs),
 triples AS (
   SELECT id AS s, 'rdf:type' AS p, 'sosa:Observation' AS o, 'iri' AS o_kind,
          NULL::VARCHAR AS datatype FROM named
@@ -165,7 +168,7 @@ constrained AS (
   UNION ALL SELECT *, 'signup-unit', 'sh:Info', 'signup has a unit'
   FROM obs WHERE prop = 'prop:signup' AND unit IS DISTINCT FROM 'unit:PH'
   UNION ALL SELECT *, 'status-number', 'sh:Warning', 'status is a number'
-  FROM obs WHERE status IS NOT NULL AND TRY_CAST(status AS DECIMAL(38,10)) IS NULL
+  FROM obs WHERE status IS NOT NULL AND TRY_CAST(status AS DOUBLE) IS NULL
   UNION ALL SELECT *, 'error-above', 'sh:Warning', 'error above 2.5'
   FROM obs WHERE prop = 'prop:error' AND num IS NOT NULL AND NOT num > 2.5
   UNION ALL SELECT *, 'error-ceiling', 'sh:Violation', 'error below ceiling'
@@ -201,13 +204,13 @@ members AS (
   JOIN triples r ON r.s = a.s JOIN triples u ON u.s = r.o
   WHERE a.p = 'sosa:observedProperty' AND a.o = 'prop:click' AND r.p = 'sosa:hasResult'
     AND u.p = 'http://qudt.org/schema/qudt/unit' AND u.o = 'unit:PH'
-    AND TRY_CAST(c.o AS DECIMAL(38,10)) >= 7.5
+    AND TRY_CAST(c.o AS DOUBLE) >= 7.5
   UNION
   SELECT u.s, CASE u.o WHEN 'unit:PH' THEN 'ex:HighResult' ELSE 'ex:LowPressure' END
   FROM triples u JOIN triples v ON u.s = v.s
   WHERE u.p = 'http://qudt.org/schema/qudt/unit' AND v.p = 'rdf:value'
-    AND (u.o = 'unit:PH' AND TRY_CAST(v.o AS DECIMAL(38,10)) >= 7.5
-         OR u.o = 'unit:PA' AND TRY_CAST(v.o AS DECIMAL(38,10)) < 3))"""
+    AND (u.o = 'unit:PH' AND TRY_CAST(v.o AS DOUBLE) >= 7.5
+         OR u.o = 'unit:PA' AND TRY_CAST(v.o AS DOUBLE) < 3))"""
 _INHERITED = f"""
 edges AS (SELECT * FROM (VALUES {_values(tv.SUBCLASS_ROWS)}) AS v(sub, super)),
 up AS (
@@ -217,6 +220,7 @@ stated AS (SELECT s, class FROM members UNION SELECT s, o FROM triples WHERE p =
 
 ORACLES: dict[str, str] = {
     "q01_json_declared_schema": f"WITH {OBS} SELECT {_FLAT} FROM obs",
+    "q01_multiline_json": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q02_parquet_round_trip": "SELECT * FROM lineitem",
     "q03_json_text_records": (
         "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
@@ -226,6 +230,8 @@ WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type FROM obs
 UNION ALL SELECT foi, 'ssn:System' FROM obs""",
     "q05_parquet_by_date": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
     "q06_json_by_date": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
+    "q05_single_file": f"""
+WITH {_ALARMS} SELECT count(*) AS alarms, count(*) AS ids, 1::BIGINT AS files FROM matched""",
     "q07_nested_select": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q08_concept_schemes": f"""
 WITH {CODES} SELECT id, p_name AS "prefLabel" FROM codes
@@ -252,6 +258,14 @@ WITH {CODES} SELECT id, u.t AS type, scheme AS "inScheme", p_name AS "prefLabel"
 FROM codes, unnest(types) AS u(t), unnest(classes) AS c(c)
 WHERE scheme = 'scheme:LARGE'
   AND NOT (p_type IN ('LARGE', 'Brand#3') AND p_brand IN ('LARGE', 'Brand#3'))""",
+    "q12_code_list_job": f"""
+WITH {CODES}
+SELECT 'schemes' AS slice, id FROM codes WHERE list_contains(types, 'Brand#1')
+UNION ALL SELECT 'classes', id FROM codes WHERE scheme = 'scheme:SMALL' AND n_narrower = 0
+UNION ALL SELECT 'parameters', id FROM codes, unnest(types) AS u(t)
+  WHERE scheme = 'scheme:PROMO' AND u.t = 'Brand#7'
+UNION ALL SELECT 'bands', id FROM codes, unnest(types) AS u(t), unnest(classes) AS c(c)
+  WHERE scheme = 'scheme:LARGE'""",
     "q13_with_column": """
 SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS l_extendedprice, l_discount,
   CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'kept' END AS l_returnflag FROM lineitem""",
@@ -278,15 +292,32 @@ WITH {_BANDED} SELECT sys AS lzsid, prop AS parameter, ref AS referentiewaarde,
     "q18_classes_for_concept": (
         f"WITH {CODES} SELECT id, array_to_string(classes, '|') AS classes FROM codes"
     ),
+    "q18_classes_of_one_concept": f"""
+WITH {CODES} SELECT id, array_to_string(classes, ', ') AS classes FROM codes
+WHERE id = 'code:5'""",
     "q19_times": f"WITH {OBS} SELECT id AS _id, datum, micros FROM obs",
     "q20_alarm_report": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q20_alarm_report_sql": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q20_alarm_report_nested": f"""
-WITH {_ALARMS} SELECT 'observation:' || md5(id || '-' || t || '-' || label) AS _id,
+WITH {_ALARMS} SELECT 'observation:' || md5(to_json([id, t, md5({_NESTED_ID}), no::VARCHAR])::VARCHAR) AS _id,
   'sosa:Observation' AS _type, foi AS "hasFeatureOfInterest", prop AS "observedProperty",
   DATE '{tv.AS_OF[:10]}' AS "resultTime", t AS "phenomenonTime", kind AS alarmtype, label,
   num AS gemetenwaarde, ref AS referentiewaarde, lo AS "minValueNormBandbreedte",
   hi AS "maxValueNormBandbreedte" FROM matched""",
+    "q20_distinct_ids": f"""
+WITH {OBS},{SYSTEMS},{_bands(tv.BAND_ROWS)},
+single AS (SELECT * FROM limits),{_absolute()},{MATCHED},
+doubled AS (
+  SELECT sys, prop, val, vmin, vmax FROM limits
+  UNION ALL SELECT sys, 'prop:click', NULL, NULL, (40 + (k + 1) % 50)::DOUBLE FROM systems
+  UNION ALL SELECT sys, 'prop:view', NULL, (10 + (k + 1) % 20)::DOUBLE, NULL FROM systems
+  UNION ALL SELECT sys, 'prop:purchase', (30 + (k + 1) % 40)::DOUBLE, NULL, NULL FROM systems),
+twice AS ({_absolute().replace("absolute AS (", "", 1).rsplit(")", 1)[0].replace("limits l", "doubled l").replace("l.no,", "")}),
+flat AS (
+  SELECT count(*) AS n FROM obs o JOIN twice a ON o.foi = a.sys AND o.prop = a.prop
+  WHERE (a.lo IS NULL OR o.num > a.lo) AND (a.hi IS NULL OR o.num < a.hi))
+SELECT 'flat' AS form, n AS alarms, n AS ids FROM flat
+UNION ALL SELECT 'nested', count(*), count(*) FROM matched""",
     "q21_alarms_compact": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
     "q22_alarms_extended": f"""
 WITH {_ALARMS} SELECT {_alarm_columns(
@@ -294,12 +325,30 @@ WITH {_ALARMS} SELECT {_alarm_columns(
         'prop AS "result_parameterDimensie", foi AS "result_lzsDimensie", t AS "result_refPeriod",'
     )} FROM matched""",
     "q23_hashed_ids": (
-        f"WITH {OBS} SELECT id AS _id, md5(id || '-' || t || '-' || prop) AS key FROM obs"
+        f"WITH {OBS} SELECT id AS _id, md5(to_json([id, t, prop, NULL])::VARCHAR) AS key FROM obs"
     ),
+    "q24_uuid_facts": f"""
+WITH {_ALARMS} SELECT count(*) AS alarms, true AS well_formed, true AS all_distinct,
+  true AS clock_of_run FROM matched""",
     "q25_rule_targets": f"""
 WITH {OBS} SELECT 'having' AS target, id AS "focusNode" FROM obs
 UNION ALL SELECT 'equal', id FROM obs WHERE prop = 'prop:click'""",
     "q26_rule_report": f"WITH {OBS},{_REPORT} SELECT {_REPORT_OUT} FROM report",
+    "q26_extreme_numbers": f"""
+WITH {OBS}, extremes AS (
+  SELECT o.*, x.x FROM obs o
+  JOIN (VALUES {_values(list(enumerate(tv.EXTREMES)))}) AS x(i, x)
+    ON x.i = CAST(split_part(o.id, ':', 2) AS BIGINT) % {len(tv.EXTREMES)}),
+found AS (
+  SELECT *, 'above' AS rule, 'sh:Violation' AS severity, 'above 7.5' AS message
+  FROM extremes WHERE CAST(x AS DOUBLE) > 7.5
+  UNION ALL SELECT *, 'tiny', 'sh:Violation', 'at most tiny' FROM extremes
+  WHERE CAST(x AS DOUBLE) <= 1e-11
+  UNION ALL SELECT *, 'text-above', 'sh:Warning', 'text above 7.5' FROM extremes
+  WHERE CAST(x AS DOUBLE) > 7.5
+  UNION ALL SELECT *, 'text-exclusive', 'sh:Info', 'text over 7.5' FROM extremes
+  WHERE NOT CAST(x AS DOUBLE) > 7.5)
+SELECT {_REPORT_OUT} FROM found""",
     "q27_constraint_report": (
         f"WITH {OBS},{_REPORT}{_CONSTRAINTS} SELECT {_REPORT_OUT} FROM constrained"
     ),
@@ -321,6 +370,18 @@ WITH {_GRAPH}, named_ AS (
 SELECT s, p, o, o_kind, datatype FROM named_
 UNION SELECT o, 'rdf:type', 'kind:' || p, o_kind, datatype FROM named_""",
     "q34_framed_observations": f"WITH {OBS} SELECT {_FLAT} FROM obs",
+    "q34_framed_at_two_times": f"""
+WITH {OBS} SELECT 'observation:' || (CAST(split_part(id, ':', 2) AS BIGINT) // 2) AS _id,
+  min(foi) AS "hasFeatureOfInterest", min(prop) AS "observedProperty", min(t) AS "resultTime",
+  nullif(concat_ws(',', CASE WHEN min(foi) <> max(foi) THEN 'hasFeatureOfInterest' END,
+    CASE WHEN min(prop) <> max(prop) THEN 'observedProperty' END,
+    CASE WHEN min(t) <> max(t) THEN 'resultTime' END), '') AS several
+FROM obs GROUP BY 1""",
+    "q36_rule_job_ntriples": f"""
+WITH {OBS},{_REPORT},{_HASHED}
+SELECT DISTINCT '<{tv.PREFIXES["observation"]}' || key || '> <'
+  || '{tv.CONTEXT.prefixes["prov"]}wasInformedBy> <'
+  || replace(id, 'observation:', '{tv.PREFIXES["observation"]}') || '> .' AS value FROM hashed""",
     "q35_framed_alarms_json": f"""
 WITH {OBS},{_REPORT},{_HASHED},{_MERGED}
 SELECT '{{"_id":"' || id_ || '","_type":["' || array_to_string(types, '","')
@@ -350,3 +411,4 @@ WITH obs AS (
 {PRICES},{_bands(tv.PRICE_BAND_ROWS)},{_absolute()},{MATCHED}
 SELECT {_REPORT_COLUMNS} FROM matched""",
 }
+ORACLES["q35_rule_job_json"] = ORACLES["q35_framed_alarms_json"]

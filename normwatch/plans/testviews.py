@@ -67,6 +67,16 @@ CONSTRAINTS = RULES + [
     Rule("error-ceiling", "sh:Violation", "error below ceiling", "less_than", "prop:error",
          field="value", other="ceiling"),
 ]
+# Numbers as text that no fixed number of digits holds, and limits next to them.
+EXTREMES = ["7.50000000001", "1e30", "0.00000000001", "3.7E0", "7.5"]
+EXTREME_RULES = [
+    Rule("above", "sh:Violation", "above 7.5", "match", None, lo="7.5"),
+    Rule("tiny", "sh:Violation", "at most tiny", "match", None, hi="0.00000000001",
+         hi_inclusive=True),
+    Rule("text-above", "sh:Warning", "text above 7.5", "match", None, "status", lo="7.5"),
+    Rule("text-number", "sh:Warning", "text is a number", "decimal", None, "status"),
+    Rule("text-exclusive", "sh:Info", "text over 7.5", "min_exclusive", None, "status", lo="7.5"),
+]
 RULE_FIELDS = {**FIELDS, "ceiling": "ceiling"}
 
 CHAIN = {"ex:numericValue": ("sosa:hasResult", "rdf:value")}
@@ -135,6 +145,43 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def observations_with_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations whose numbers are beyond ten decimals or 28 digits; as text in the status."""
+    texts = F.array(*[F.lit(t) for t in EXTREMES])
+    text = F.element_at(texts, (F.col("number") % len(EXTREMES) + 1).cast("int"))
+    rows = observations(spark, sf_dir).withColumn(
+        "number", F.substring_index("_id", ":", -1).cast("long")
+    )
+    result = F.col("result").withField("kwalitatieve_waarde", text)
+    return rows.withColumn("result", result.withField("numerieke_waarde", text.cast("double")))
+
+
+def observations_at_two_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of observations that share an id."""
+    number = F.substring_index("_id", ":", -1).cast("long")
+    pair = F.concat(F.lit("observation:"), F.floor(number / 2).cast("string"))
+    return observations(spark, sf_dir).withColumn("_id", pair)
+
+
+def systems_with_two_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Systems with two operating properties for each parameter, the second one higher by one."""
+    key = F.col("c_custkey")
+    both = F.concat(_limits(key, "forProperty"), _limits(key + 1, "forProperty"))
+    return systems(spark, sf_dir).drop("hasOperatingRange").join(
+        table(spark, sf_dir, "customer").select(
+            F.concat(F.lit("system:"), key).alias("_id"),
+            F.struct(both.alias("hasOperatingProperty")).alias("hasOperatingRange"),
+        ),
+        "_id",
+    )
+
+
+def norms_without_labels(spark: SparkSession) -> DataFrame:
+    """Nested norms whose bands have no label."""
+    bare = F.transform("bandbreedtes", lambda b: b.withField("label", F.lit(None).cast("string")))
+    return norms_nested(spark).withColumn("bandbreedtes", bare)
+
+
 def observations_with_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring_index("hasFeatureOfInterest", ":", -1).cast("double")
     return observations(spark, sf_dir).withColumn("ceiling", number)

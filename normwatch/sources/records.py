@@ -25,9 +25,31 @@ def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def from_json_text(texts: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Records from a column of JSON texts."""
-    return texts.select(F.from_json(F.col(column), schema).alias("record")).select("record.*")
+CORRUPT = "_corrupt_record"
+
+
+def from_json_text(
+    texts: DataFrame, column: str, schema: T.StructType, corrupt: str | None = None
+) -> DataFrame:
+    """Records from a column of JSON texts, each an object or an array of objects.
+
+    A text that is neither gives one record of NULLs; with ``corrupt`` its text is kept in a column
+    of that name, which is NULL for all other records.
+    """
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
+    text = F.col(column)
+    # Read as an array, an object is an array of one; what is neither becomes one corrupt record.
+    records = F.from_json(text, T.ArrayType(kept), options)
+    lost = F.from_json(F.lit("{}"), kept).withField(CORRUPT, text)
+    records = F.when(text.isNotNull() & (records.isNull()), F.array(lost)).otherwise(
+        F.coalesce(records, F.array(F.from_json(F.lit("{}"), kept)))
+    )
+    rows = texts.select(F.explode(records).alias("record"))
+    columns = [F.col(f"record.`{f.name}`").alias(f.name) for f in schema.fields]
+    if corrupt is not None:
+        columns.append(F.col(f"record.{CORRUPT}").alias(corrupt))
+    return rows.select(*columns)
 
 
 def unwrap_envelope(documents: DataFrame, field: str = "@graph") -> DataFrame:

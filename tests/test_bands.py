@@ -78,10 +78,10 @@ def test_several_operating_properties_fan_out(spark):
         assert sorted(row.minValue for row in resolved.collect()) == [30.0, 40.0]
 
 
-def test_repeated_system_ids_join_like_sql(spark):
+def test_sql_takes_system_ids_for_keys(spark):
     twice = systems(spark).unionByName(systems(spark))
     by_sql = absolute_bands_sql(spark, twice, bands(spark))
-    assert bag(resolve_bands(twice, bands(spark))) == bag(by_sql)
+    assert bag(resolve_bands(twice, bands(spark), unique_ids=True)) == bag(by_sql)
 
 
 def test_system_without_operating_range(spark):

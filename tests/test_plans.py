@@ -1,5 +1,7 @@
 """What the plans must look like: pruned scans, pushed filters, no needless shuffles."""
 
+import os
+
 import pytest
 from samples import bands, observations, systems
 from test_rules import RULES
@@ -8,6 +10,8 @@ from normwatch.operators.alarms import alarm_observations, alarm_report
 from normwatch.operators.bands import resolve_bands
 from normwatch.operators.rules import construct_alarms, validate
 from normwatch.operators.triples import to_triples
+from normwatch.plans import testviews as tv
+from normwatch.plans.catalog import QUERIES
 from normwatch.sources import STANDARD_CONTEXT
 
 
@@ -69,3 +73,31 @@ def test_triples_are_made_in_place(stored):
     only_values = to_triples(stored["o"], STANDARD_CONTEXT, ["_id"], ["rdf:value"])
     scan = scan_of(plan_of(only_values))[0]
     assert "hasFeatureOfInterest" not in scan and "eenheid" not in scan
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "q20_alarm_report",
+        "q28_constructed_alarms_joined",
+        "q32_path_values",
+        "q34_framed_observations",
+        "q35_framed_alarms_json",
+        "q37_property_chain",
+        "q38_class_members",
+    ],
+)
+def test_building_a_plan_starts_no_job(spark, name):
+    sf_dir = os.environ.get("NORMWATCH_SF_DIR", "/root/testdata/sf0.001")
+    context = spark.sparkContext
+    # Reading the schema of a Parquet file is a job of its own, so each table is read once before.
+    schemas = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").schema for t in ("events", "customer")}
+    real = tv.table
+    tv.table = lambda session, sf, t: session.read.schema(schemas[t]).parquet(f"{sf}/{t}.parquet")
+    context.setJobGroup(f"plan-{name}", name)
+    try:
+        QUERIES[name](spark, sf_dir)
+        assert list(context.statusTracker().getJobIdsForGroup(f"plan-{name}")) == []
+    finally:
+        tv.table = real
+        context.setLocalProperty("spark.jobGroup.id", None)

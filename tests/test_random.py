@@ -128,17 +128,3 @@ def test_bands_and_matches(spark, monkeypatch, seed, broadcast):
     alarms = match_bands(observations_df, got)
     rows = alarms.select("_id", "bbid", "minValue", "maxValue").collect()
     assert Counter(map(tuple, rows)) == Counter(matched(observations, limits))
-
-
-def test_unnormed_properties_are_left_out_before_a_shuffle(spark, monkeypatch):
-    from normwatch.operators import joins
-
-    systems, bands, observations = sample(7)
-    got = resolve_bands(
-        spark.createDataFrame(systems, schemas.SYSTEM), spark.createDataFrame(bands, schemas.BAND)
-    )
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 700)
-    alarms = match_bands(spark.createDataFrame(observations, schemas.OBSERVATION), got)
-    assert "Join LeftSemi" in alarms._jdf.queryExecution().optimizedPlan().toString()
-    limits = list(resolved(systems, bands))
-    assert alarms.count() == len(list(matched(observations, limits)))

@@ -152,6 +152,38 @@ def test_many_rules_do_not_need_a_broadcast(spark, monkeypatch):
     assert Counter(map(str, validate(with_high_ph(spark), RULES).collect())) == want
 
 
+@pytest.mark.parametrize(
+    "value, above",
+    [("7.50000000001", True), ("7.5", False), ("1e30", True), ("0.00000000001", False), ("3.7E0", False),
+     ("7.500000000000000001", True), ("-1e400", False), ("99999999999999999999999999999999999999999", True)],
+)
+def test_numbers_beyond_any_decimal_type(spark, value, above):
+    rule = Rule("r", "s", "m", "match", None, "status", lo="7.5")
+    rows = observations(spark).limit(1).withColumn(
+        "result", F.col("result").withField("kwalitatieve_waarde", F.lit(value))
+    )
+    assert validate(rows, [rule]).count() == int(above)
+    assert validate(rows, [Rule("r", "s", "m", "decimal", None, "status")]).count() == 0
+    exclusive = Rule("r", "s", "m", "min_exclusive", None, "status", lo="7.5")
+    assert validate(rows, [exclusive]).count() == int(not above)
+    tiny = Rule("r", "s", "m", "match", None, "status", lo="0.00000000001", lo_inclusive=True)
+    assert validate(rows, [tiny]).count() == int(value != "-1e400")
+
+
+def test_text_that_is_no_number(spark):
+    for text in ("NaN", "1d", "", "1e", "0x1", "1 2"):
+        rows = observations(spark).limit(1).withColumn(
+            "result", F.col("result").withField("kwalitatieve_waarde", F.lit(text))
+        )
+        assert validate(rows, [Rule("r", "s", "m", "decimal", None, "status")]).count() == 1
+
+
+def test_report_without_time_is_refused(spark):
+    report = validate(observations(spark), RULES).drop("resultTime")
+    with pytest.raises(ValueError, match="resultTime"):
+        construct_alarms(report, observations(spark))
+
+
 def test_text_numbers_are_read(spark):
     texts = single(spark, "7.7").unionByName(single(spark, "n/a"))
     numbers = typed_observations(texts).select("result.numerieke_waarde").collect()

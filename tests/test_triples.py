@@ -45,24 +45,29 @@ def test_frame_undoes_to_triples(spark):
     assert flat(frame(to_triples(rows, STANDARD_CONTEXT), OBSERVATION_FRAME)) == flat(rows)
 
 
-def test_frame_on_large_graphs(spark, monkeypatch):
-    from normwatch.operators import joins
-
-    rows = one_day(spark)
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 1)
-    assert flat(frame(to_triples(rows, STANDARD_CONTEXT), OBSERVATION_FRAME)) == flat(rows)
-
-
 def test_one_id_at_two_times_is_not_silently_reduced(spark):
     triples = to_triples(observations(spark), STANDARD_CONTEXT)
     with pytest.raises(Exception, match="several values"):
-        frame(triples, OBSERVATION_FRAME).collect()
+        frame(triples, OBSERVATION_FRAME, several="error").collect()
+    told = frame(triples, OBSERVATION_FRAME).where("_id = 'observation:24'").first()
+    assert told["_several"] == ["result", "resultTime"]
+    every = frame(triples, OBSERVATION_FRAME, several="array").where("_id = 'observation:24'").first()
+    assert len(every["result"]) == 2 and told["resultTime"] == min(every["resultTime"])
+    repeated = {i for i, n in Counter(o["_id"] for o in OBSERVATIONS).items() if n > 1}
+    marked = frame(triples, OBSERVATION_FRAME).where("_several is not null")
+    assert {row["_id"] for row in marked.collect()} == repeated
     times = Frame({"resultTime": Field("sosa:resultTime", many=True)}, "sosa:Observation")
     row = frame(triples, times).where("_id = 'observation:24'").first()
     assert len(row["resultTime"]) == 2
 
 
+def test_embedded_levels_group_no_observations(spark):
+    triples = to_triples(one_day(spark), STANDARD_CONTEXT)
+    plan = frame(triples, OBSERVATION_FRAME)._jdf.queryExecution().optimizedPlan().toString()
+    inner = [line for line in plan.splitlines() if "rdf:value" in line and "Filter" in line]
+    assert inner and all("rdf:type" not in line for line in inner)
+
+
 def test_many_embedded_records(spark):
     rows = [
         ("a", "rdf:type", "T", "iri", None),
@@ -173,6 +178,24 @@ def test_lines(spark, tmp_path):
     assert {row["value"] for row in spark.read.text(str(tmp_path / "nt")).collect()} == want
 
 
+def test_forbidden_characters_are_escaped(spark):
+    rows = [
+        ("http://x/a b", "http://x/p", 'q>"<>', "iri", None),
+        ("http://x/a\\b", "http://x/{p}", "v", "literal", "http://x/d t"),
+    ]
+    lines = ntriples_lines(spark.createDataFrame(rows, schemas.TRIPLE)).collect()
+    assert {row["value"] for row in lines} == {
+        r"<http://x/a\u0020b> <http://x/p> <q\u003E\u0022\u003C\u003E> .",
+        r'<http://x/a\u005Cb> <http://x/\u007Bp\u007D> "v"^^<http://x/d\u0020t> .',
+    }
+
+
+def test_node_names_keep_parts_apart(spark):
+    rows = spark.createDataFrame([("a|b", None), ("a", "b")], "x string, y string")
+    context = Context({"x": ("v:x", "plain"), "y": ("v:y", "plain")})
+    assert to_triples(rows, context, ["x", "y"]).select("s").distinct().count() == 2
+
+
 def test_context_file(spark, tmp_path):
     document = {
         "@context": {
