@@ -265,18 +265,22 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 
     A repeated row (same doc_id, same text) is returned once, whichever other columns it has.
     """
-    kept = stored(dedup(docs).where("kept").select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest")), "kept")
-    columns = docs.columns
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    ids = F.col("row.doc_id").cast("long")
-    # In a repeated row only white space can differ; the longest, as kept, comes first.
-    plain = F.coalesce(F.regexp_replace(F.col("row.text").cast("string"), r"[\x20\x09-\x0D]+", ""), F.lit(""))
-    digest = F.unhex(F.sha2(plain.cast("binary"), 256))
-    joined = named.select("row", ids.alias("id"), digest.alias("digest")).join(
-        kept, same(F.col("id"), F.col("k_id")) & (F.col("digest") == F.col("k_digest")), "left_semi"
+    # Text keys without NULL: the join and the grouping then share one exchange of the rows.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    kept = stored(
+        dedup(docs).where("kept").select(key.alias("k_key"), F.col("digest").alias("k_digest")),
+        "kept",
+    )
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    plain = F.regexp_replace(F.col("row.text").cast("string"), r"[\x20\x09-\x0D]+", "")
+    digest = F.unhex(F.sha2(F.coalesce(plain, F.lit("")).cast("binary"), 256))
+    row_key = F.coalesce(F.col("row.doc_id").cast("long").cast("string"), F.lit(""))
+    joined = named.select("row", row_key.alias("key"), digest.alias("digest")).join(
+        kept, (F.col("key") == F.col("k_key")) & (F.col("digest") == F.col("k_digest")), "left_semi"
     )
+    # In a repeated row only white space can differ; the longest, as kept, comes first.
     longest = F.coalesce(F.length(F.col("row.text").cast("string")), F.lit(0))
-    one = joined.groupBy("id", "digest").agg(F.max_by("row", longest).alias("row"))
+    one = joined.groupBy("key", "digest").agg(F.max_by("row", longest).alias("row"))
     return one.select("row.*")
 
 

@@ -249,16 +249,19 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     a component whose doc_ids are all null keeps one row.
     """
     found = near_duplicates(docs)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     kept = stored(
-        found.where(same(F.col("doc_id"), F.col("component_id"))).select(F.col("doc_id").alias("k_id")).distinct(),
+        found.where(same(F.col("doc_id"), F.col("component_id"))).select(key.alias("k_key")).distinct(),
         "kept",
     )
+    # Text keys without NULL: the join and the grouping then share one exchange of the rows.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    joined = docs.select(row, F.col("doc_id").cast("long").alias("id")).join(
-        kept, same(F.col("id"), F.col("k_id")), "left_semi"
+    joined = docs.select(row, F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key")).join(
+        kept, F.col("key") == F.col("k_key"), "left_semi"
     )
     size = F.coalesce(F.octet_length(F.col("row.text").cast("string")), F.lit(0))
-    return joined.groupBy("id").agg(F.max_by("row", F.struct(size, F.xxhash64("row.text"))).alias("row")).select("row.*")
+    first = F.struct(size, F.xxhash64("row.text"))
+    return joined.groupBy("key").agg(F.max_by("row", first).alias("row")).select("row.*")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
