@@ -16,6 +16,8 @@ from normwatch.session import scratch_path
 
 # A side of a join is broadcast only if rows x bytes per row stay below this.
 BROADCAST_BYTES = 16 * 1024 * 1024
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +55,15 @@ def _base(path: str) -> str:
 def in_arrow(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
-    _ship_package(df.sparkSession)
+    """``mapInArrow`` with a function of this package.
+
+    Arrow batches are bounded by bytes, unless the session has its own bound: the usual 10,000 rows
+    of long texts, held as Arrow data and as Python objects, are too much for a worker.
+    """
+    spark = df.sparkSession
+    _ship_package(spark)
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import regex
 
 # Pieces remembered by one Python worker before it starts anew; bounds its memory, not its results.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 # UTF-8 bytes of the texts handled at a time, but for a single longer text.
 SLICE_BYTES = 4 << 20
 
@@ -52,7 +52,9 @@ class _Known(dict):
 class PieceTable:
     """Values (whole numbers) of pieces, resolved once for each worker by ``resolve``.
 
-    ``resolve`` takes the pre-tokens not known yet and returns a list of numbers for each.
+    ``resolve`` takes pre-tokens that are not known yet and returns a list of numbers for each.  A
+    piece that is one pre-token serves as its value in other pieces too, so each known word is held
+    once, as text, number and values in flat arrays.
     """
 
     def __init__(self, pattern: str, resolve: Callable[[list[bytes]], Sequence[Sequence[int]]]):
@@ -65,10 +67,16 @@ class PieceTable:
         self.numbered = 0
         self.waiting: list[str] = []
         self.led, self.bare = _Known(self, " "), _Known(self, "")
-        self.tokens: dict[str, Sequence[int]] = {}
         self.flat = array("i")
         self.ends = array("q", [0])
 
+    def _settled(self, token: str) -> Sequence[int] | None:
+        """The values of a pre-token that is a settled piece."""
+        number = self.led.get(token[1:]) if token[0] == " " else self.bare.get(token)
+        if number is None or number >= len(self.ends) - 1:
+            return None
+        return self.flat[self.ends[number] : self.ends[number + 1]]
+
     def numbers(self, text: str) -> list[int]:
         """The numbers of the pieces of a text, in order."""
         if self.ragged(text):
@@ -85,13 +93,17 @@ class PieceTable:
         if not waiting:
             return
         cut = [self.match(piece) for piece in waiting]
-        tokens = self.tokens
-        new = list(dict.fromkeys(t for piece in cut for t in piece if t not in tokens))
-        tokens.update(zip(new, self.resolve([t.encode() for t in new])))
+        values: dict[str, Sequence[int] | None] = {}
+        for piece, tokens in zip(waiting, cut):
+            for token in tokens:
+                if token not in values:
+                    values[token] = self._settled(token) if len(tokens) > 1 else None
+        new = [token for token, known in values.items() if known is None]
+        values.update(zip(new, self.resolve([t.encode() for t in new])))
         flat, ends = self.flat, self.ends
-        for piece in cut:
-            for token in piece:
-                flat.extend(tokens[token])
+        for tokens in cut:
+            for token in tokens:
+                flat.extend(values[token])
             ends.append(len(flat))
 
     def values(self, numbers: list[list[int]]) -> Iterator[np.ndarray]:
