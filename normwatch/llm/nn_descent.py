@@ -38,6 +38,8 @@ BEAM = 256
 OPEN = 40  # nodes that a query follows in one step
 STEPS = 7
 PIVOTS = 32
+# A task is given this many nodes before there are more tasks than cores.
+NODES_PER_TASK = 4_000
 RESCORED = 48
 
 
@@ -65,6 +67,7 @@ class Graph:
     state: DataFrame  # node, vec, ids, scores, fresh
     adjacency: DataFrame
     pivots: list[tuple[int, bytes]]
+    tasks: int
 
 
 def _matrix(blobs: list[bytes]) -> np.ndarray:
@@ -201,9 +204,13 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str, most: int = 1 << 20):
         yield list(zip(starts[:-1], starts[1:])), rows
 
 
-def _refined(lists: DataFrame, most: int) -> DataFrame:
-    ordered = lists.repartition("node").sortWithinPartitions("node", "kind")
-    return in_arrow(ordered, _merge_lists(most), _LISTS)
+def _dealt(rows: DataFrame, tasks: int, keys: list[str], *order: str) -> DataFrame:
+    """Rows with equal keys together and sorted, in no more tasks than their number is worth."""
+    return rows.repartition(*keys).coalesce(tasks).sortWithinPartitions(*order)
+
+
+def _refined(lists: DataFrame, most: int, tasks: int) -> DataFrame:
+    return in_arrow(_dealt(lists, tasks, ["node"], "node", "kind"), _merge_lists(most), _LISTS)
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,34 +353,35 @@ def build_graph(
     planted = in_arrow(
         base, _tree_rows(trees, bits, width + 1), "tree int, code long, side float, node long, vec binary"
     )
-    leaves = planted.repartition("tree", "code").sortWithinPartitions("tree", "code", "side")
+    tasks = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-size["n"] // NODES_PER_TASK))
+    leaves = _dealt(planted, tasks, ["tree", "code"], "tree", "code", "side")
     proposals = in_arrow(leaves, _leaf_neighbours(LEAF, PER_LEAF), _LISTS)
     none = F.lit(None).cast("binary")
     start = base.select("node", F.lit(0).alias("kind"), "vec", none.alias("ids"), none.alias("scores"), none.alias("fresh"))
-    state = stored(_refined(start.union(proposals), neighbours), "graph")
+    state = stored(_refined(start.union(proposals), neighbours, tasks), "graph")
     for _ in range(rounds):
         asked = in_arrow(state, _listed, "node long, kind int, old int, chance int, other long")
-        asked = asked.repartition("node").sortWithinPartitions("node", "kind", "old", "chance")
+        asked = _dealt(asked, tasks, ["node"], "node", "kind", "old", "chance")
         asked = in_arrow(asked, _sampled(SAMPLE, SAMPLE), "at long, other long, old int")
         known = in_arrow(
             state.select("node", "vec", "scores"), _with_least(neighbours), "node long, vec binary, least float"
         )
         met = asked.join(known, F.col("other") == F.col("node")).drop("node")
-        met = met.repartition("at").sortWithinPartitions("at", "other")
+        met = _dealt(met, tasks, ["at"], "at", "other")
         proposals = in_arrow(met, _meet, _LISTS)
-        state = stored(_refined(state.union(proposals), neighbours), "graph")
+        state = stored(_refined(state.union(proposals), neighbours, tasks), "graph")
     # A few edges against their direction make nodes reachable that hardly any node lists.
     edges = in_arrow(state, _listed, "node long, kind int, old int, chance int, other long")
     edges = edges.groupBy("node", "other").agg(F.min("kind").alias("kind"), F.min("chance").alias("chance"))
     edges = edges.select("node", "kind", F.lit(0).alias("old"), "chance", "other")
-    edges = edges.repartition("node").sortWithinPartitions("node", "kind", "chance")
+    edges = _dealt(edges, tasks, ["node"], "node", "kind", "chance")
     edges = in_arrow(edges, _sampled(neighbours, REVERSED), "at long, other long, old int")
     packed = edges.join(base, F.col("other") == F.col("node")).select("at", "other", "vec")
-    packed = packed.repartition("at").sortWithinPartitions("at")
+    packed = _dealt(packed, tasks, ["at"], "at")
     adjacency = stored(in_arrow(packed, _packed, "node long, ids binary, vecs binary"), "adjacency")
     first = base.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()
     pivots = [(r["node"], bytes(r["vec"])) for r in first]
-    return Graph(nodes, members, state, adjacency, pivots)
+    return Graph(nodes, members, state, adjacency, pivots, tasks)
 
 
 _BEAMS = "query long, kind int, vec binary, ids binary, scores binary, done binary"
@@ -529,9 +537,9 @@ def search_graph(
         if open_rows.isEmpty():
             break
         near = open_rows.repartition(parts, "open").join(around, F.col("open") == F.col("node"))
-        near = near.select("query", "qvec", "least", "ids", "vecs")
+        near = near.select("query", "qvec", "least", "ids", "vecs").coalesce(graph.tasks)
         rows = beams.union(in_arrow(near, _reached, _BEAMS))
-        rows = rows.repartition("query").sortWithinPartitions("query", "kind")
+        rows = _dealt(rows, graph.tasks, ["query"], "query", "kind")
         beams = stored(in_arrow(rows, _next_beams(opened, beam), _BEAMS), "beams")
     around.unpersist()
     pairs = in_arrow(beams.select("query", "ids"), _candidates(RESCORED), "query long, node long")
