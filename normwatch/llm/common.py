@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -41,7 +43,10 @@ def _ship_package(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parents[1]
     if any(name.startswith(f"{package.name}-code") for name in map(_base, context.listFiles)):
         return
-    archive = Path(tempfile.mkdtemp()) / f"{package.name}-code.zip"
+    # The driver serves this file to the executors while the program runs.
+    folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{package.name}-code.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
