@@ -19,11 +19,7 @@ def rest_of(col: Column) -> Column:
 
 
 def expand_iri(col: Column, prefixes: Mapping[str, str] | None) -> Column:
-    """Full IRI of a compact one for a handful of prefixes known up front.
-
-    For whole triple tables use :func:`normwatch.operators.triples.expand_iris`, which looks the
-    prefix up by a join.
-    """
+    """Full IRI of a compact one; one with an unknown prefix stays as it is."""
     if not prefixes:
         return col
     pairs = [F.lit(part) for item in prefixes.items() for part in item]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from normwatch.functions import alarm_key, date_as_written, now_or
 from normwatch.operators.joins import spread_join
 
+# The names of the columns of reports and alarms, here and below, are the format that
+# readers of the files expect.
 VALUE = "result.numerieke_waarde"
 
 

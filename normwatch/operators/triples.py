@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from normwatch.functions import record_key
-from normwatch.functions.iris import prefix_of, rest_of
+from normwatch.functions.iris import expand_iri
 from normwatch.operators.joins import spread_join
 from normwatch.sources.context import ID, PLAIN, Context
-from normwatch.session import literal_table
 
 RDF_TYPE = "rdf:type"
 _TRIPLE = "array<struct<s:string,p:string,o:string,o_kind:string,datatype:string>>"
@@ -166,25 +165,13 @@ def expand_iris(
 ) -> DataFrame:
     """Compact IRIs in full, by a lookup of the prefix; literals and unknown prefixes stay.
 
-    The prefix table comes from a configuration held in the driver, so it is broadcast.
+    The prefixes are a configuration held in the driver; they become a literal map in the
+    expressions, so nothing is joined.
     """
-    spark = triples.sparkSession
-    table = literal_table(spark, list(prefixes.items()), "prefix string, namespace string")
-    out = triples
-    for name in columns:
-        lookup = F.broadcast(
-            table.select(
-                F.col("prefix").alias(f"prefix_{name}"), F.col("namespace").alias(f"ns_{name}")
-            )
-        )
-        col = F.col(name)
-        key = prefix_of(col)
-        if name == "o":
-            key = F.when(F.col("o_kind") == "iri", key)
-        out = out.join(lookup, key == F.col(f"prefix_{name}"), "left")
-        full = F.coalesce(F.concat(F.col(f"ns_{name}"), rest_of(col)), col)
-        out = out.withColumn(name, full).drop(f"prefix_{name}", f"ns_{name}")
-    return out
+    full = {name: expand_iri(F.col(name), prefixes) for name in columns}
+    if "o" in full:
+        full["o"] = F.when(F.col("o_kind") == "iri", full["o"]).otherwise(F.col("o"))
+    return triples.withColumns(full)
 
 
 def union_graphs(*graphs: DataFrame) -> DataFrame:

@@ -74,19 +74,16 @@ def read_context(path: str) -> Context:
 STANDARD_CONTEXT = Context(
     terms={
         "label": ("rdfs:label", PLAIN),
-        "naam": ("skos:prefLabel", PLAIN),
         "type": ("dcterms:type", ID),
         "dc_type": ("dc:type", PLAIN),
         "subject": ("dcterms:subject", ID),
         "phenomenonTime": ("sosa:phenomenonTime", "xsd:dateTime"),
         "resultTime": ("sosa:resultTime", "xsd:dateTime"),
         "result": ("sosa:hasResult", ID),
-        "inXSDDateTime": ("time:inXSDDateTime", "xsd:dateTime"),
         "hasFeatureOfInterest": ("sosa:hasFeatureOfInterest", ID),
         "hasGeometry": ("gsp:hasGeometry", ID),
         "asWKT": ("gsp:asWKT", "gsp:wktLiteral"),
         "locatie": ("locn:location", ID),
-        "geolocatie": ("locn:geometry", PLAIN),
         "hasProperty": ("ssn:hasProperty", ID),
         "hasResult": ("sosa:hasResult", ID),
         "eenheid": ("http://qudt.org/schema/qudt/unit", ID),
@@ -94,13 +91,8 @@ STANDARD_CONTEXT = Context(
         "kwalitatieve_waarde": ("rdf:value", ID),
         "boolean_value": ("rdf:value", "xsd:boolean"),
         "integer_value": ("rdf:value", "xsd:integer"),
-        "about": ("schema:about", ID),
         "seeAlso": ("rdfs:seeAlso", ID),
-        "usedProcedure": ("sosa:usedProcedure", ID),
-        "used": ("prov:used", ID),
-        "madeBySensor": ("sosa:madeBySensor", ID),
         "observedProperty": ("sosa:observedProperty", ID),
-        "isPropertyOf": ("ssn:isPropertyOf", ID),
         "datum": ("dcterms:date", "xsd:date"),
         "isDeelVan": ("dcterms:isPartOf", ID),
         "wasInformedBy": ("prov:wasInformedBy", ID),

@@ -29,6 +29,7 @@ def _system(number, class_, conductivity, flow, discharge, pressure):
     }
 
 
+# Operating limits, bounds of bands and measured values whose results are known.
 SYSTEMS = [
     _system(1, "class:s1", 40.0, 10.0, 70.0, 100.0),
     _system(2, "class:s2", 100.0, 20.0, 50.0, 80.0),
