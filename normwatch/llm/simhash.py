@@ -14,6 +14,7 @@ dropped.  A bucket returns a star per linked set instead of all pairs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,6 +98,22 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return in_arrow(rows, _fingerprint_batches, "doc_id long, fp long")
 
 
+def _identified_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprints with the SHA-256 and the bytes of the text."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        made = np.array([fingerprint(t) for t in texts], np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array(made.view(np.int64)),
+                pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+                pa.array([len(t) for t in texts], pa.int64()),
+            ],
+            names=["doc_id", "fp", "digest", "size"],
+        )
+
+
 # A region is the part of the fingerprint that a level cuts: lowest bit and width.  The choice of a
 # level is segment * (half + 1) + wildcard, where the last wildcard stands for the segment as it is.
 _LEVELS = 3
@@ -222,6 +239,17 @@ def fingerprint_links(distinct: DataFrame, most: int = MAX_BITS) -> DataFrame:
     return links.distinct()
 
 
+def _components(rows: DataFrame, most: int) -> DataFrame:
+    """f, root and component_id for every fingerprint of ``rows`` (doc_id, fp); a component has one root."""
+    each = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = stored(connected_components(fingerprint_links(each, most)), "roots")
+    rooted = each.join(roots, each.fp == roots.node, "left").select(
+        each.fp, "least", F.coalesce("root", each.fp).alias("root")
+    )
+    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return stored(rooted.join(component, "root").select(F.col("fp").alias("f"), "root", "component_id"), "named")
+
+
 def near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """doc_id, fp and component_id for every row of ``docs``.
 
@@ -230,13 +258,7 @@ def near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
     other.  Repeated rows have equal results.
     """
     rows = stored(fingerprints(docs), "fingerprints")
-    each = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = stored(connected_components(fingerprint_links(each, most)), "roots")
-    rooted = each.join(roots, each.fp == roots.node, "left").select(
-        each.fp, "least", F.coalesce("root", each.fp).alias("root")
-    )
-    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(component, "root").select(F.col("fp").alias("f"), "component_id"), "named")
+    named = _components(rows, most).select("f", "component_id")
     return rows.join(bounded_side(named, 24), F.col("fp") == F.col("f")).select(
         "doc_id", "fp", "component_id"
     )
@@ -245,23 +267,27 @@ def near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all its columns.
 
-    Rows that repeat that doc_id are returned once (the longest, then the first by fingerprint);
-    a component whose doc_ids are all null keeps one row.
+    Rows of a component that repeat that doc_id are returned once (the longest, then the last by
+    SHA-256); a component whose doc_ids are all null keeps one row.  Rows of different components
+    may share a doc_id, or have none, and are all returned.
     """
-    found = near_duplicates(docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), binary_text().alias("text"))
+    rows = in_arrow(rows, _identified_batches, "doc_id long, fp long, digest binary, size long")
+    rows = stored(rows, "fingerprints")
+    found = rows.join(bounded_side(_components(rows, MAX_BITS), 24), F.col("fp") == F.col("f"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    kept = stored(
-        found.where(same(F.col("doc_id"), F.col("component_id"))).select(key.alias("k_key")).distinct(),
-        "kept",
-    )
+    chosen = F.max(F.struct("size", "digest", key.alias("key"))).alias("one")
+    kept = found.where(same(F.col("doc_id"), F.col("component_id"))).groupBy("root").agg(chosen)
+    kept = stored(kept.select(F.col("one.key").alias("k_key"), F.col("one.digest").alias("k_digest")), "kept")
     # Text keys without NULL: the join and the grouping then share one exchange of the rows.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    joined = docs.select(row, F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key")).join(
-        kept, F.col("key") == F.col("k_key"), "left_semi"
+    row_key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    digest = F.unhex(F.sha2(binary_text(), 256))
+    joined = docs.select(row, row_key.alias("key"), digest.alias("digest")).join(
+        kept, (F.col("key") == F.col("k_key")) & (F.col("digest") == F.col("k_digest")), "left_semi"
     )
-    size = F.coalesce(F.octet_length(F.col("row.text").cast("string")), F.lit(0))
-    first = F.struct(size, F.xxhash64("row.text"))
-    return joined.groupBy("key").agg(F.max_by("row", first).alias("row")).select("row.*")
+    # Rows left with one key and digest have the same text: any of them.
+    return joined.groupBy("key", "digest").agg(F.first("row").alias("row")).select("row.*")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:

@@ -93,3 +93,19 @@ def test_one_row_of_each_component_stays(spark):
     nulls = docs.where("doc_id is null")
     assert sh.drop_near_duplicates(nulls).count() == 1
     assert sh.drop_near_duplicates(no_docs(spark)).count() == 0
+
+
+def test_every_component_keeps_a_row_whatever_its_ids(spark):
+    from llm_cases import prose
+
+    one, two, three = prose(21, 90), prose(22, 120), prose(23, 60)
+    docs = [(None, one), (None, two), (None, two), (1, three), (1, one + " x y"), (2, three)]
+    kept = sh.drop_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = sh.near_duplicates(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string"))
+    of = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    # One row of each component: its smallest id, or null where it has no other.
+    assert sorted(of[docs.index(r)] for r in rows) == sorted(set(of.values()))
+    assert (None, two) in rows and (1, three) in rows
+    nulls = spark.createDataFrame([(None, one), (None, two)], "doc_id long, text string")
+    assert sh.drop_near_duplicates(nulls).count() == 2
