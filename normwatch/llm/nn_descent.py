@@ -33,10 +33,10 @@ PER_LEAF = 16  # candidates that a node takes from one leaf
 SAMPLE = 16  # listed nodes, and listing nodes, that meet at a node in one round
 PROPOSALS = 8  # best new pairs of a node in one meeting
 REVERSED = 8  # nodes that list a node, followed in a search beside those it lists
-ROUNDS = 2
+# Rounds go on until at most this share of the list entries is new.
+FEW = 0.001
 BEAM = 256
 OPEN = 40  # nodes that a query follows in one step
-STEPS = 7
 PIVOTS = 32
 # A task is given this many nodes before there are more tasks than cores.
 NODES_PER_TASK = 4_000
@@ -322,11 +322,20 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _settled(state: DataFrame) -> bool:
+    """Whether hardly any entry of the lists came in with the last round."""
+    new = F.length(F.translate(F.hex("fresh"), "0", ""))
+    found = state.agg(F.sum(new).alias("new"), F.sum(F.octet_length("fresh")).alias("entries")).first()
+    return (found["new"] or 0) <= FEW * (found["entries"] or 0)
+
+
 def build_graph(
-    vectors: DataFrame, neighbours: int = NEIGHBOURS, trees: int = TREES, rounds: int = ROUNDS
+    vectors: DataFrame, neighbours: int = NEIGHBOURS, trees: int = TREES, rounds: int | None = None
 ) -> Graph:
     """Graph over the usable rows of ``vectors`` (vec_id, embedding).
 
+    Rounds are made until at most ``FEW`` of the list entries are new; ``rounds`` fixes their number.
+
     Vectors of another length than the most frequent one (the smaller at a tie) take no part, like
     unusable ones and null ids.
     """
@@ -359,7 +368,9 @@ def build_graph(
     none = F.lit(None).cast("binary")
     start = base.select("node", F.lit(0).alias("kind"), "vec", none.alias("ids"), none.alias("scores"), none.alias("fresh"))
     state = stored(_refined(start.union(proposals), neighbours, tasks), "graph")
-    for _ in range(rounds):
+    made = 0
+    while made < rounds if rounds is not None else not _settled(state):
+        made += 1
         asked = in_arrow(state, _listed, "node long, kind int, old int, chance int, other long")
         asked = _dealt(asked, tasks, ["node"], "node", "kind", "old", "chance")
         asked = in_arrow(asked, _sampled(SAMPLE, SAMPLE), "at long, other long, old int")
@@ -517,20 +528,22 @@ def _candidates(most: int):
 
 
 def search_graph(
-    graph: Graph, queries: DataFrame, beam: int = BEAM, opened: int = OPEN, steps: int = STEPS
+    graph: Graph, queries: DataFrame, beam: int = BEAM, opened: int = OPEN, steps: int | None = None
 ) -> DataFrame:
     """(query, node, score) of the nodes found near each query, scores exact on original vectors.
 
     ``queries`` has query (distinct), embedding (usable, of the graph's width) and start, a node to
-    start from or null.  A search ends when nothing in its beam is left to follow, at the latest
-    after ``steps`` steps.
+    start from or null.  A search ends when nothing in its beam is left to follow, or after
+    ``steps`` steps if given.
     """
     spark = queries.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     asked = stored(queries.select("query", "embedding", "start"), "queries")
     beams = stored(in_arrow(asked, _first_beams(graph.pivots, beam), _BEAMS), "beams")
     around = graph.adjacency.repartition(parts, "node").persist()
-    for _ in range(steps):
+    taken = 0
+    while steps is None or taken < steps:
+        taken += 1
         open_rows = in_arrow(
             beams, _opened(opened, beam), "query long, qvec binary, open long, least float"
         )

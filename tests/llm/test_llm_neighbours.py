@@ -56,3 +56,20 @@ def test_recall(spark, sf):
     hits = sum(len(found[q] & {i for i, _ in w}) for q, w in want.items())
     assert hits >= 0.9 * sum(map(len, want.values()))
     assert (got.groupby("query_id").size() == 20).all()
+
+
+def test_a_search_goes_on_until_nothing_is_open(spark):
+    turn = np.linspace(0, 3, 400)
+    vectors = [(i, [np.cos(t), np.sin(t)]) for i, t in enumerate(turn)]
+    graph = nn.build_graph(table_of(spark, vectors), neighbours=4)
+    queries = graph.nodes.where("node % 40 = 20").selectExpr("node as query", "embedding", "cast(null as long) as start")
+    want = {q: {j for j, _ in found} for q, found in brute_force(vectors, lambda i: i % 40 == 20, 30).items()}
+
+    def missed(**limits):
+        found = {}
+        for r in nn.search_graph(graph, queries, beam=48, opened=1, **limits).collect():
+            found.setdefault(r["query"], set()).add(r["node"])
+        return sum(len(w - found[q]) for q, w in want.items())
+
+    assert missed(steps=7) > 0
+    assert missed() == 0
