@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from normwatch.llm.bpe import op5_byte_bpe
+from normwatch.llm.decontamination import OP11_SQL, op11_decontamination
 from normwatch.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from normwatch.llm.mixing import op10_temperature_mixing
 from normwatch.llm.nn_descent import op2_nn_descent
@@ -30,6 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_revisits,
         op9_substring_dedup,
         op10_temperature_mixing,
+        op11_decontamination,
     )
 }
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_warc_revisits": OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op7_exact_dedup": OP7_SQL,
+    "op8_warc_revisits": OP8_SQL,
+    "op11_decontamination": OP11_SQL,
+}

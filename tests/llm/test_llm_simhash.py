@@ -91,7 +91,8 @@ def test_one_row_of_each_component_stays(spark):
     found = sh.near_duplicates(docs).collect()
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in found})
     nulls = docs.where("doc_id is null")
-    assert sh.drop_near_duplicates(nulls).count() == 1
+    # Two texts that are not alike, both without an id.
+    assert sh.drop_near_duplicates(nulls).count() == 2
     assert sh.drop_near_duplicates(no_docs(spark)).count() == 0
 
 
