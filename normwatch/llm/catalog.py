@@ -16,6 +16,7 @@ from normwatch.llm.sharding import op3_lpt_sharding
 from normwatch.llm.simhash import op4_simhash
 from normwatch.llm.substrings import op9_substring_dedup
 from normwatch.llm.token_counts import op6_token_counts
+from normwatch.llm.variants import op12_spelling_variants
 from normwatch.llm.warc import OP8_SQL, op8_warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_temperature_mixing,
         op11_decontamination,
+        op12_spelling_variants,
     )
 }
 ORACLES: dict[str, str] = {
