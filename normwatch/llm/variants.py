@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from normwatch.llm.common import bounded_side, stored, table
+from normwatch.llm.common import stored, table
 
 RUN_BREAKS = r"[^A-Za-zÀ-ÿ]+"
 MIN_LETTERS = 6
@@ -99,11 +99,14 @@ def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
     coded = stored(words.select(reduced(F.col("word"), symbols).alias("code"), "word", "n"), "coded")
     codes = stored(coded.select("code").distinct(), "codes")
     around = codes.select(
-        "code", F.explode(one_edit_neighbours(F.col("code"), symbols)).alias("other")
+        F.col("code").alias("a"), F.explode(one_edit_neighbours(F.col("code"), symbols)).alias("b")
     )
-    # Neighbours that no word reduces to go before anything is joined to words.
-    known = bounded_side(codes.select(F.col("code").alias("other")), 80)
-    pairs = around.join(known, "other", "left_semi")
+    # Both of two neighbours find each other; the one that is first in order is enough.  Neighbours
+    # that no word reduces to go before anything is joined to words.
+    one_way = around.where("a <= b").join(codes.select(F.col("code").alias("b")).hint("merge"), "b")
+    one_way = stored(one_way.select("a", "b"), "neighbours")
+    turned = one_way.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    pairs = one_way.union(turned).select(F.col("a").alias("code"), F.col("b").alias("other"))
     mine = pairs.join(coded, "code").select("other", "word", "n")
     theirs = coded.select(
         F.col("code").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n")
