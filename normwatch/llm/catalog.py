@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from normwatch.llm.alignment import op13_tokenizer_alignment
 from normwatch.llm.bpe import op5_byte_bpe
 from normwatch.llm.decontamination import OP11_SQL, op11_decontamination
 from normwatch.llm.exact_dedup import OP7_SQL, op7_exact_dedup
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_temperature_mixing,
         op11_decontamination,
         op12_spelling_variants,
+        op13_tokenizer_alignment,
     )
 }
 ORACLES: dict[str, str] = {
