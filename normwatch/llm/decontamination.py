@@ -1,10 +1,11 @@
 """Benchmark passages in documents, found through a distributed positional inverted index.
 
-The index is a written table of postings: one row for each word of each document, sorted within its
-files by a hash of the word, so that looking words up skips most row groups.  A phrase is found from
-its rarest words: the postings of the rarest one, shifted by its place in the phrase, are candidate
-places; they are intersected with the shifted postings of the second rarest, and what is left with
-those of all other words.  Everything is joins and aggregates of built-in functions.
+The index is a written table of postings, one row for each word of each document, sorted within its
+files by a hash of the word.  A phrase is found from its rarest words: the postings of the rarest
+one, shifted by its place in the phrase, are candidate places; they are intersected with the shifted
+postings of the second rarest, and what is left with those of all other words.  Everything is joins
+and aggregates of built-in functions.  Words of phrases are sent to the index if they are few;
+candidates, which grow with the documents, meet it in a merge join at every size.
 """
 
 from __future__ import annotations
@@ -14,17 +15,18 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from normwatch.llm.common import bounded_side, same, stored, table
+from normwatch.llm.common import bounded_side, stored, table
 
 WINDOW = 10
 # What ends a word; all other characters are part of one.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The entry that holds the number of words of a document in place of a position; never a word.
-LENGTH_ENTRY = ""
-# What tells documents apart: repeated ids have other texts, null ids other hashes.
-IDENTITY = ["doc_id", "mark", "check"]
-# Generous bytes in memory of a row of the small tables joined to the index.
+# Begins the entry that ends a document, of which the rest is its id; it is in no word.
+END = "\0"
+# Generous bytes in memory of a row of the small tables that are sent to the index.
 _ROW_BYTES = 160
+# Rows (documents) that are sent to the index take up to this; more are met by a shuffle.
+_DOCUMENT_BYTES = 32
+_DOCUMENTS_LIMIT = 64 * 1024 * 1024
 
 
 def words(text: Column) -> Column:
@@ -38,33 +40,31 @@ def words(text: Column) -> Column:
 def build_index(docs: DataFrame) -> DataFrame:
     """Write the postings of ``docs`` (doc_id, text) and return them.
 
-    Columns: key (hash of the term), term, doc_id, mark and check (hashes of the text; check tells
-    texts of null doc_ids apart and is 0 otherwise), pos from 0.  Every row of ``docs`` has one entry
-    for the term ``LENGTH_ENTRY`` with its number of words as pos, so that empty and null texts are
-    known too; repeated rows repeat their entries.  Whole texts are indexed, whatever their length,
-    and other columns are ignored.
+    Columns: row (a number for every row of ``docs``, repeated and null ids included), term, pos from
+    0.  Each document ends with an entry that is no word: ``END`` and the doc_id, if it has one, at
+    the position after the last word; so those without words are known too.  Whole texts are
+    indexed, whatever their length; other columns are ignored.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    end = F.concat(F.lit(END), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")))
     named = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(text).alias("mark"),
-        F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(1), text)).otherwise(0).alias("check"),
-        words(F.col("text")).alias("words"),
+        F.monotonically_increasing_id().alias("row"),
+        F.concat(words(F.col("text")), F.array(end)).alias("words"),
     )
-    length = F.array(
-        F.struct(F.size("words").alias("pos"), F.lit(LENGTH_ENTRY).alias("term"))
-    )
-    each = F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("term")))
-    entries = named.select(*IDENTITY, F.inline(F.concat(length, each)))
-    postings = entries.select(F.xxhash64("term").alias("key"), "term", *IDENTITY, "pos")
-    return stored(postings.sortWithinPartitions("key"), "postings")
+    postings = named.select("row", F.posexplode("words").alias("pos", "term"))
+    return stored(postings.sortWithinPartitions(F.xxhash64("term")), "postings")
+
+
+def documents_of(index: DataFrame) -> DataFrame:
+    """row, doc_id and n_words of every indexed row."""
+    ends = index.where(F.col("term").startswith(END))
+    doc = F.nullif(F.substring("term", 2, 20), F.lit("")).cast("long")
+    return ends.select("row", doc.alias("doc_id"), F.col("pos").cast("long").alias("n_words"))
 
 
-def document_lengths(index: DataFrame) -> DataFrame:
-    """doc_id, mark, check and n_words of every indexed row."""
-    entry = F.lit(LENGTH_ENTRY)
-    lengths = index.where((F.col("key") == F.xxhash64(entry)) & (F.col("term") == entry))
-    return lengths.select(*IDENTITY, F.col("pos").cast("long").alias("n_words"))
+def postings_of(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """The postings of the written ``terms`` (term, ...)."""
+    own = stored(terms.select("term").distinct(), "terms")
+    return index.join(bounded_side(own, _ROW_BYTES), "term", "left_semi")
 
 
 def phrase_words(items: DataFrame) -> DataFrame:
@@ -84,11 +84,9 @@ def phrase_digest(sequence: Column) -> Column:
 
 
 def _counted_terms(index: DataFrame, phrases: DataFrame) -> DataFrame:
-    """phrases with key and n, the number of postings of their term.  Absent terms have no rows."""
-    terms = stored(phrases.select("term").distinct(), "terms")
-    wanted = bounded_side(terms.select(F.xxhash64("term").alias("key"), "term"), _ROW_BYTES)
-    counts = index.join(wanted, ["key", "term"], "left_semi").groupBy("key", "term")
-    return phrases.join(counts.agg(F.count("*").alias("n")), "term")
+    """phrases with n, the number of postings of their term.  Absent terms have no rows."""
+    counts = postings_of(index, phrases).groupBy("term").agg(F.count("*").alias("n"))
+    return phrases.join(counts, "term")
 
 
 def _window_pairs(counted: DataFrame, length: int) -> DataFrame:
@@ -113,45 +111,33 @@ def _window_pairs(counted: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _present(index: DataFrame, wanted: DataFrame, terms: DataFrame) -> DataFrame:
-    """The rows of ``wanted`` (identity, pos, key, term, ...) whose posting exists.
+def _present(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` (row, pos, term, ...) whose posting exists.
 
-    Few rows are sent to the index.  Many are joined by a shuffle on document and place, which has
-    no hot keys, with the postings of the ``terms`` in question only.
+    A place of a document has one posting, so the join neither repeats rows nor has hot keys.
     """
-    wanted = stored(wanted, "wanted")
-    place = wanted.select(*[F.col(c).alias(f"w_{c}") for c in [*IDENTITY, "pos", "key", "term"]])
-    near = bounded_side(place.distinct(), _ROW_BYTES)
-    meets = same(F.col("doc_id"), F.col("w_doc_id"))
-    for name in ("mark", "check", "pos", "key", "term"):
-        meets = meets & (F.col(name) == F.col(f"w_{name}"))
-    some = index.join(bounded_side(terms, _ROW_BYTES), ["key", "term"], "left_semi")
-    found = some.join(near, meets, "left_semi").select(
-        *[F.col(c).alias(f"w_{c}") for c in [*IDENTITY, "pos", "key", "term"]]
-    )
-    found = stored(found.distinct(), "present")
-    return wanted.join(bounded_side(found, _ROW_BYTES), meets, "left_semi")
+    return postings.join(wanted.hint("merge"), ["row", "pos", "term"])
 
 
 def phrase_matches(index: DataFrame, phrases: DataFrame, length: int = WINDOW) -> DataFrame:
     """Where windows of ``length`` consecutive words of the phrases occur in the index.
 
     ``phrases`` as ``phrase_words`` gives it.  A phrase of fewer words is one window.  Returns
-    phrase, doc_id, mark, check, begin and end: runs of document words (end included) of which every
+    phrase, row, begin and end: runs of document words (end included) of which every
     window is one of the phrase, the longest such runs.  Each is returned once.
     """
     if length < 1:
         raise ValueError("a window has at least one word")
     counted = stored(_counted_terms(index, phrases), "counted")
     windows = stored(_window_pairs(counted, length), "windows")
-    spelled = counted.select("phrase", "offset", "key", "term")
+    spelled = counted.select("phrase", "offset", "term")
 
     # The rarest word of each window: its postings, shifted, are the candidates.
     firsts = windows.select("phrase", F.col("first").alias("offset")).distinct()
     anchors = stored(firsts.join(spelled, ["phrase", "offset"]), "anchors")
-    rare = index.join(bounded_side(anchors, _ROW_BYTES), ["key", "term"])
+    rare = postings_of(index, anchors).join(bounded_side(anchors, _ROW_BYTES), "term")
     shifted = (F.col("pos") - F.col("offset")).alias("diagonal")
-    candidates = rare.select("phrase", F.col("offset").alias("first"), *IDENTITY, shifted).distinct()
+    candidates = rare.select("phrase", F.col("offset").alias("first"), "row", shifted).distinct()
 
     # Intersected with the second rarest.
     pairs = windows.select("phrase", "first", "second").distinct()
@@ -160,7 +146,8 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, length: int = WINDOW) -
     wanted = candidates.join(bounded_side(seconds, _ROW_BYTES), ["phrase", "first"]).withColumn(
         "pos", F.col("diagonal") + F.col("second")
     )
-    both = _present(index, wanted, seconds.select("key", "term").distinct())
+    both = _present(postings_of(index, seconds), wanted)
+    both = stored(both.select("phrase", "first", "second", "row", "diagonal"), "both")
 
     # What is left with all other words of the windows.
     offsets = F.sequence("start", F.col("start") + F.least(F.lit(length), F.col("size")) - 1)
@@ -169,27 +156,31 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, length: int = WINDOW) -
     ).distinct()
     covered = stored(covered.join(spelled, ["phrase", "offset"]), "covered")
     keys = ["phrase", "first", "second"]
-    places = both.select(*keys, *IDENTITY, "diagonal").join(bounded_side(covered, _ROW_BYTES), keys)
-    places = places.select(
-        "phrase", "size", *IDENTITY, "diagonal", "offset", "key", "term",
+    places = both.join(bounded_side(covered, _ROW_BYTES), keys).select(
+        "phrase", "size", "row", "diagonal", "offset", "term",
         (F.col("diagonal") + F.col("offset")).alias("pos"),
-    ).distinct()
-    found = _present(index, places, covered.select("key", "term").distinct())
+    )
+    places = stored(places.distinct(), "places")
+    # Documents with candidates are few, or met by the shuffle of the join that follows.
+    rows = stored(both.select("row").distinct(), "rows")
+    if rows.count() * _DOCUMENT_BYTES <= _DOCUMENTS_LIMIT:
+        index = index.join(F.broadcast(rows), "row", "left_semi")
+    found = _present(index, places)
 
     # Unbroken runs of found words along one diagonal.
-    line = Window.partitionBy("phrase", "size", *IDENTITY, "diagonal").orderBy("offset")
+    line = Window.partitionBy("phrase", "size", "row", "diagonal").orderBy("offset")
     runs = found.withColumn("run", F.col("offset") - F.row_number().over(line))
-    runs = runs.groupBy("phrase", "size", *IDENTITY, "diagonal", "run").agg(
+    runs = runs.groupBy("phrase", "size", "row", "diagonal", "run").agg(
         F.min("pos").alias("begin"), F.max("pos").alias("end")
     )
     full = runs.where(F.col("end") - F.col("begin") + 1 >= F.least(F.lit(length), F.col("size")))
-    return full.select("phrase", *IDENTITY, "begin", "end")
+    return full.select("phrase", "row", "begin", "end")
 
 
 def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame:
     """Where all distinct words of a phrase occur, in any order, among ``within`` consecutive words.
 
-    Returns phrase, doc_id, mark, check, begin: every document word from which on the next
+    Returns phrase, row, begin: every document word from which on the next
     ``within`` words hold them all and that is one of them.  Candidates are the places around the
     rarest word of each phrase.
     """
@@ -197,33 +188,27 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> Data
         raise ValueError("at least one word")
     counted = stored(_counted_terms(index, phrases), "counted")
     needed = phrases.groupBy("phrase").agg(F.countDistinct("term").alias("n_terms"))
-    own = counted.select("phrase", "key", "term", "n").distinct()
+    own = counted.select("phrase", "term", "n").distinct()
     ranked = own.withColumn(
         "rank", F.row_number().over(Window.partitionBy("phrase").orderBy("n", "term"))
     )
     ranked = ranked.withColumn("known", F.count("*").over(Window.partitionBy("phrase")))
     ranked = ranked.join(needed, "phrase").where(F.col("known") == F.col("n_terms"))
-    ranked = stored(ranked.select("phrase", "key", "term", "rank", "n_terms"), "ranked")
+    ranked = stored(ranked.select("phrase", "term", "rank", "n_terms"), "ranked")
     rarest = bounded_side(ranked.where("rank = 1"), _ROW_BYTES)
     # Windows begin at most within - 1 words before the rarest word; blocks make that an equality.
-    centre = index.join(rarest, ["key", "term"]).select("phrase", *IDENTITY, "pos")
+    centre = postings_of(index, ranked.where("rank = 1")).join(rarest, "term").select("phrase", "row", "pos")
     block = F.floor(F.col("pos") / within)
     around = centre.select(
-        "phrase", *IDENTITY, F.explode(F.array(block - 1, block, block + 1)).alias("block")
+        "phrase", "row", F.explode(F.array(block - 1, block, block + 1)).alias("block")
     ).distinct()
-    around = around.select("phrase", "block", *[F.col(c).alias(f"a_{c}") for c in IDENTITY])
-    postings = index.join(bounded_side(ranked, _ROW_BYTES), ["key", "term"])
-    postings = postings.select(
-        F.col("phrase").alias("p"), "rank", "n_terms", *IDENTITY, "pos", block.alias("b")
-    ).distinct()
-    meets = (F.col("p") == F.col("phrase")) & (F.col("b") == F.col("block"))
-    meets = meets & same(F.col("doc_id"), F.col("a_doc_id"))
-    meets = meets & (F.col("mark") == F.col("a_mark")) & (F.col("check") == F.col("a_check"))
-    close = postings.join(around, meets, "left_semi")
-    ahead = Window.partitionBy("p", *IDENTITY).orderBy("pos").rangeBetween(0, within - 1)
+    postings = postings_of(index, ranked).join(bounded_side(ranked, _ROW_BYTES), "term")
+    postings = postings.select("phrase", "rank", "n_terms", "row", "pos", block.alias("block"))
+    close = postings.join(around, ["phrase", "row", "block"], "left_semi")
+    ahead = Window.partitionBy("phrase", "row").orderBy("pos").rangeBetween(0, within - 1)
     held = close.withColumn("held", F.size(F.collect_set("rank").over(ahead)))
     return held.where(F.col("held") == F.col("n_terms")).select(
-        F.col("p").alias("phrase"), *IDENTITY, F.col("pos").alias("begin")
+        "phrase", "row", F.col("pos").alias("begin")
     )
 
 
@@ -240,36 +225,26 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     index = build_index(docs)
     phrases = stored(phrase_words(items), "phrases")
     matches = stored(phrase_matches(index, phrases, length), "matches")
-    hit = matches.select(*IDENTITY, F.explode(F.sequence("begin", "end")).alias("pos")).distinct()
-    hit = hit.groupBy(*IDENTITY).agg(F.count("*").alias("n_hit"))
+    hit = matches.select("row", F.explode(F.sequence("begin", "end")).alias("pos")).distinct()
+    hit = hit.groupBy("row").agg(F.count("*").alias("n_hit"))
     named = items.select(
         phrase_digest(words(F.col("text"))).alias("phrase"),
         F.col("item_id").cast("string").alias("item"),
     ).distinct()
-    listed = matches.select("phrase", *IDENTITY).distinct().join(named, "phrase")
-    listed = listed.groupBy(*IDENTITY).agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
-    found = hit.join(listed, _same_identity(hit, listed)).select(
-        *[hit[c].alias(f"f_{c}") for c in IDENTITY], "n_hit", "item_ids"
-    )
-    lengths = document_lengths(index)
-    meets = same(F.col("doc_id"), F.col("f_doc_id"))
-    meets = meets & (F.col("mark") == F.col("f_mark")) & (F.col("check") == F.col("f_check"))
+    listed = matches.select("phrase", "row").distinct().join(named, "phrase")
+    listed = listed.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     none = F.array().cast("array<string>")
-    return lengths.join(found, meets, "left").select(
+    found = documents_of(index).join(hit.join(listed, "row"), "row", "left")
+    return found.select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.size(F.coalesce("item_ids", none)).cast("long").alias("n_items"),
         F.coalesce("item_ids", none).alias("item_ids"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
 
 
-def _same_identity(left: DataFrame, right: DataFrame) -> Column:
-    meets = same(left["doc_id"], right["doc_id"])
-    return meets & (left["mark"] == right["mark"]) & (left["check"] == right["check"])
-
-
 def op11_decontamination(spark, sf_dir: str) -> DataFrame:
     """All rows of ``documents`` against all of ``benchmark``."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
