@@ -16,6 +16,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,12 @@ from normwatch.llm.common import in_arrow, stored, table
 from normwatch.llm.pretokens import text_slices
 
 # UTF-8 bytes of the texts of a block, but for a single longer text.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # What a worker remembers: bounds its memory, not its results.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 450_000
 REMEMBERED_BYTES = 16 << 20
+# Words encoded at a time.
+ENCODED_WORDS = 1 << 14
 # Ends merged in one piece.
 PIECE_WORK = 1 << 15
 _SPACE = "▁"
@@ -126,6 +129,9 @@ class TokenizerPair:
             raise ValueError("a piece runs across a space: texts cannot be cut into words")
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        # Decimal ids with what follows them in the text of groups.
+        self.a_text = _followed(len(self.a_bytes), ",|")
+        self.b_text = _followed(len(self.b_bytes), ",;\n")
 
     def ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of space+word in A, and of word, to which B adds the space itself."""
@@ -136,6 +142,11 @@ class TokenizerPair:
         )
 
 
+def _followed(size: int, signs: str) -> np.ndarray:
+    """For each sign the decimal numbers below ``size`` with the sign after them."""
+    return np.array([[f"{i}{sign}" for i in range(size)] for sign in signs], object)
+
+
 class _Flat:
     """Ragged numbers in one growing array."""
 
@@ -160,6 +171,18 @@ class _Flat:
         return self.data[np.repeat(begin - upto + size, size) + np.arange(total)], size
 
 
+class _Numbers(dict):
+    """Numbers of words; a new word gets the next number and waits to be encoded."""
+
+    def __init__(self):
+        self.waiting: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.waiting.append(word)
+        return number
+
+
 class WordTable:
     """Words that were met, with their ids, links and groups.  A word follows a space that is not
     part of it; white space may lie within."""
@@ -173,22 +196,13 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.waiting: list[str] = []
+        self.numbers = _Numbers()
         self.held = 0
         self.spelled: list[bytes] = []  # groups as text
         self.links = _Flat(np.int64)  # A id << 32 | B id, by place
         self.counts = np.zeros((0, 3), np.int64)  # tokens of A, of B, groups
         self.right = np.zeros(0, bool)  # both sequences spell the word
 
-    def number(self, word: str) -> int:
-        found = self.numbers.get(word)
-        if found is None:
-            found = self.numbers[word] = len(self.numbers)
-            self.waiting.append(word)
-            self.held += len(word)
-        return found
-
     def words(self, text: str) -> list[int]:
         """The numbers of the words of space+text."""
         spaced = " " + text
@@ -198,22 +212,27 @@ class WordTable:
         else:
             parts = text.split(" ")
         known = self.numbers
-        try:
-            return [known[p] for p in parts]
-        except KeyError:
-            return [self.number(p) for p in parts]
+        return [known[p] for p in parts]
 
     def settle(self) -> None:
         """Encode and align the words that wait."""
-        words, self.waiting = self.waiting, []
-        if not words:
-            return
+        waiting, self.numbers.waiting = self.numbers.waiting, []
+        self.held += sum(map(len, waiting))
+        counts, right = [self.counts], [self.right]
+        for begin in range(0, len(waiting), ENCODED_WORDS):
+            found = self._settled(waiting[begin : begin + ENCODED_WORDS])
+            counts.append(found[0])
+            right.append(found[1])
+        self.counts, self.right = np.concatenate(counts), np.concatenate(right)
+
+    def _settled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         own = self.pair
         a_ids, b_ids = own.ids(words)
         spelled = [b" " + w.encode() for w in words]
+        a_bytes, b_bytes = own.a_bytes.__getitem__, own.b_bytes.__getitem__
         right = np.array(
             [
-                b"".join([own.a_bytes[t] for t in a]) == s == b"".join([own.b_bytes[t] for t in b])
+                b"".join(map(a_bytes, a)) == s == b"".join(map(b_bytes, b))
                 for a, b, s in zip(a_ids, b_ids, spelled)
             ]
         )
@@ -221,33 +240,33 @@ class WordTable:
             a_ids[k], b_ids[k], spelled[k] = [], [], b""
         n_a = np.array([len(t) for t in a_ids], np.int64)
         n_b = np.array([len(t) for t in b_ids], np.int64)
-        a = np.array([t for ids in a_ids for t in ids], np.int64)
-        b = np.array([t for ids in b_ids for t in ids], np.int64)
+        a = np.array(list(chain.from_iterable(a_ids)), np.int64)
+        b = np.array(list(chain.from_iterable(b_ids)), np.int64)
         ends, at_a, at_b, closes = overlaps(np.cumsum(own.a_sizes[a]), np.cumsum(own.b_sizes[b]))
         upto = np.searchsorted(ends, np.cumsum([len(s) for s in spelled]), "right")
-        n_links = np.diff(upto, prepend=0)
         closed = np.concatenate([[0], np.cumsum(closes)])
         n_groups = np.diff(closed[upto], prepend=0)
-        self.links.extend((a[at_a] << 32) | b[at_b], n_links)
-        self.spelled += self._groups(a, b, at_a, at_b, closes, n_groups)
-        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], 1)])
-        self.right = np.concatenate([self.right, right])
-
-    @staticmethod
-    def _groups(a, b, at_a, at_b, closes, n_groups) -> Iterator[bytes]:
-        """``a1,a2|b1;a3|b2,b3`` of each word."""
+        self.links.extend((a[at_a] << 32) | b[at_b], np.diff(upto, prepend=0))
         closing = np.flatnonzero(closes)
-        to_a, to_b = (at_a[closing] + 1).tolist(), (at_b[closing] + 1).tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        i = j = 0
-        groups = []
-        for x, y in zip(to_a, to_b):
-            groups.append(f"{','.join(a_text[i:x])}|{','.join(b_text[j:y])}")
-            i, j = x, y
-        at = 0
-        for n in n_groups.tolist():
-            yield ";".join(groups[at : at + n]).encode()
-            at += n
+        self.spelled += self._groups(a, b, at_a[closing], at_b[closing], n_groups)
+        return np.stack([n_a, n_b, n_groups], 1), right
+
+    def _groups(self, a, b, last_a, last_b, n_groups) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3`` of each word, from the last tokens of every group.
+
+        Each token is written with the sign that follows it; a sort by group and side brings the
+        tokens of both in order.
+        """
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[last_a] = 1
+        sign_b[last_b] = 1
+        sign_b[last_b[np.cumsum(n_groups)[n_groups > 0] - 1]] = 2
+        group_a = np.cumsum(sign_a == 1) - (sign_a == 1)
+        group_b = np.cumsum(sign_b > 0) - (sign_b > 0)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        written = np.concatenate([self.pair.a_text[sign_a, a], self.pair.b_text[sign_b, b]])
+        lines = iter("".join(written[order].tolist()).encode().split(b"\n"))
+        return [next(lines) if n else b"" for n in n_groups.tolist()]
 
     def text_words(self, texts: list[str]) -> list[np.ndarray]:
         """Word numbers of each text, settled; none for a text that the tokenizers do not spell."""
@@ -256,7 +275,7 @@ class WordTable:
         arrays = [np.array(n, np.int64) for n in found]
         odd = [k for k, n in enumerate(arrays) if not self.right[n].all()]
         # What is wrong in a word may be right in the whole text, or not: ask for that.
-        whole = [self.number(texts[k]) for k in odd]
+        whole = [self.numbers[texts[k]] for k in odd]
         self.settle()
         for k, n in zip(odd, whole):
             arrays[k] = np.array([n] if self.right[n] else [], np.int64)
@@ -291,6 +310,12 @@ def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted.  (For many values a sort is faster than hashing them.)"""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def _block(words: WordTable, block: int, ids: list[int | None], texts: list[str]) -> pa.RecordBatch:
     """One row for each document, and one (the last) for what they share.
 
@@ -320,7 +345,7 @@ def _block(words: WordTable, block: int, ids: list[int | None], texts: list[str]
 
     pairs, link_pair = np.unique(links, return_inverse=True)
     word_of_link = np.repeat(np.arange(len(used)), n_links)
-    once = np.unique(word_of_link * max(len(pairs), 1) + link_pair)
+    once = _distinct(word_of_link * max(len(pairs), 1) + link_pair)
     once_word, once_pair = np.divmod(once, max(len(pairs), 1))
     once_sizes = np.bincount(once_word, minlength=len(used))
     once_flat = _Flat(np.int64)
@@ -335,7 +360,7 @@ def _block(words: WordTable, block: int, ids: list[int | None], texts: list[str]
             last = np.searchsorted(held_doc, held_doc[part[-1]], "right")
             own = slice(int(first), int(last))
             holding, n = once_flat.gather(held_word[own])
-            keys = np.unique(np.repeat(held_doc[own], n) * len(pairs) + holding)
+            keys = _distinct(np.repeat(held_doc[own], n) * len(pairs) + holding)
             holders += np.bincount(keys % len(pairs), minlength=len(pairs))
 
     n, none = len(found), pa.nulls(1)
