@@ -81,16 +81,16 @@ _RULE_COLUMNS = (
 )
 
 
+def rule_row(rule: Rule) -> tuple:
+    """A rule as a row of the table of rules; limits keep the digits they were given with."""
+    plain = [f"{v:f}" if isinstance(v, Decimal) else v for v in astuple(rule)]
+    plain[4] = rule.target or ANY_PROPERTY
+    return tuple(plain)
+
+
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule that checks something; rules for every property have target ``*``."""
-    # Limits keep the digits they were given with.
-    rows = [
-        tuple(f"{v:f}" if isinstance(v, Decimal) else v for v in astuple(rule)[:4])
-        + (rule.target or ANY_PROPERTY,)
-        + tuple(f"{v:f}" if isinstance(v, Decimal) else v for v in astuple(rule)[5:])
-        for rule in rules
-        if rule.kind != "none"
-    ]
+    rows = [rule_row(rule) for rule in rules if rule.kind != "none"]
     return literal_table(spark, rows, _RULE_COLUMNS)
 
 
@@ -108,7 +108,7 @@ def _pick(choice: Column, names: Sequence[str], value_of) -> Column:
     return picks[0] if len(picks) == 1 else F.coalesce(*picks)
 
 
-def _violation(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
+def violation_of(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
     """Condition over a joined observation and rule; only branches that occur are built."""
     names = sorted({r.field for r in rules})
     others = sorted({r.other for r in rules if r.other})
@@ -186,7 +186,7 @@ def validate(
         # Rows no rule looks at are dropped by the scan.
         seen = observations.where(key.isin(sorted(targets))) if targets else observations
         rows = seen.withColumn("rule_key", key)
-    condition = _violation(checked, fields) if checked else F.lit(False)
+    condition = violation_of(checked, fields) if checked else F.lit(False)
     joined = spread_join(
         rows,
         rule_table(spark, checked),

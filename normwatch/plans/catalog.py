@@ -41,6 +41,7 @@ from normwatch.operators.rules import (
     rule_targets,
     validate,
 )
+from normwatch.operators.shapes import FIELD_PATHS, shapes_of, validate_graph
 from normwatch.operators.triples import (
     expand_iris,
     ntriples_lines,
@@ -338,6 +339,23 @@ def q20_alarm_report_sql(spark, sf):
     )
 
 
+def _bands_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve_bands(tv.systems(spark, sf), tv.bands_with_gaps(spark), unique_ids=True)
+
+
+@query
+def q20_gaps(spark, sf):
+    """Observations and bands without a property, system, class or number."""
+    rows = tv.observations_with_gaps(spark, sf)
+    return alarm_report(rows, _bands_with_gaps(spark, sf), tv.AS_OF)
+
+
+@query
+def q20_gaps_sql(spark, sf):
+    rows = tv.observations_with_gaps(spark, sf)
+    return alarm_report_sql(spark, rows, _bands_with_gaps(spark, sf), tv.AS_OF)
+
+
 @query
 def q20_alarm_report_nested(spark, sf):
     bands = resolve_bands_nested(
@@ -460,6 +478,21 @@ def q27_constraint_report(spark, sf):
     return validate(rows, tv.CONSTRAINTS, tv.RULE_FIELDS)
 
 
+@query
+def q27_graph_report(spark, sf):
+    """The same rules on the triples of the same observations."""
+    rows = tv.observations_with_ceiling(spark, sf)
+    graph = to_triples(rows, tv.CEILING_CONTEXT, tv.NODE_KEY)
+    shapes = shapes_of(tv.CONSTRAINTS, {**FIELD_PATHS, "ceiling": ("ex:ceiling",)})
+    return validate_graph(graph, shapes).drop("value")
+
+
+@query
+def q27_shapes_for_all(spark, sf):
+    """Shapes about subjects with no value or several: customers, their orders and the lines."""
+    return validate_graph(tv.order_graph(spark, sf), tv.ORDER_SHAPES, {"segment": ("ex:segment",)})
+
+
 def _flat_rule_alarms(alarms: DataFrame) -> DataFrame:
     return alarms.select(
         "_id",

@@ -218,6 +218,45 @@ up AS (
   UNION SELECT up.sub, e.super FROM up JOIN edges e ON up.super = e.sub),
 stated AS (SELECT s, class FROM members UNION SELECT s, o FROM triples WHERE p = 'rdf:type')"""
 
+_GAPS = f"""
+WITH {OBS}, gaps AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(split_part(id, ':', 2) AS BIGINT) % 11 <> 2 THEN foi END AS foi,
+    CASE WHEN CAST(split_part(id, ':', 2) AS BIGINT) % 5 <> 3 THEN prop END AS prop,
+    CASE WHEN CAST(split_part(id, ':', 2) AS BIGINT) % 7 <> 5 THEN num END AS num) FROM obs),
+{SYSTEMS},{_bands(tv.BAND_ROWS + tv.GAP_BAND_ROWS)},{_absolute()},
+{MATCHED.replace("FROM obs o", "FROM gaps o")}
+SELECT {_REPORT_COLUMNS} FROM matched"""
+
+_ORDERED = """
+seg AS (SELECT 'customer:' || c_custkey AS s, 'segment:' || c_mktsegment AS segment FROM customer),
+ord AS (SELECT 'customer:' || o_custkey AS c, 'order:' || o_orderkey AS s, 'status:' || o_orderstatus AS status,
+  CAST(o_orderdate AS DATE) + 100 AS limit_, o_totalprice >= 200000 AS large FROM orders),
+line AS (SELECT 'order:' || l_orderkey AS ord, l_quantity AS q, l_linenumber * 10 AS number,
+  CAST(l_shipdate AS DATE) AS shipped FROM lineitem),
+bought AS (SELECT seg.s, seg.segment, q FROM seg JOIN ord ON ord.c = seg.s JOIN line ON line.ord = ord.s),
+shape_report AS (
+  SELECT s AS focus, 'sh:Warning' AS severity, 'an order' AS message, 'has-order' AS rule, NULL AS value
+  FROM seg WHERE s NOT IN (SELECT c FROM ord)
+  UNION ALL SELECT s, 'sh:Info', 'at most 14 orders', 'few-orders', NULL FROM seg
+  WHERE (SELECT count(*) FROM ord WHERE c = seg.s) > 14
+  UNION ALL SELECT ord.s, 'sh:Info', 'two to five days', 'few-days', NULL FROM ord LEFT JOIN line ON line.ord = ord.s
+  WHERE status = 'status:F' GROUP BY ord.s HAVING count(DISTINCT shipped) NOT BETWEEN 2 AND 5
+  UNION ALL SELECT DISTINCT s, 'sh:Violation', 'above 2', 'quantity', CAST(q AS VARCHAR) FROM bought
+  WHERE segment = 'segment:BUILDING' AND NOT q > 2
+  UNION ALL SELECT DISTINCT s, 'sh:Warning', '49 or more', 'full', CAST(q AS VARCHAR) FROM bought
+  WHERE segment = 'segment:AUTOMOBILE' AND q >= 49
+  UNION ALL SELECT s, 'sh:Violation', 'one finished', 'finished', NULL FROM seg
+  WHERE segment = 'segment:MACHINERY' AND s NOT IN (SELECT c FROM ord WHERE status = 'status:F')
+  UNION ALL SELECT DISTINCT ord.s, 'sh:Violation', 'shipped soon', 'in-time',
+    strftime(shipped, '%Y-%m-%dT00:00:00Z') FROM ord JOIN line ON line.ord = ord.s
+  WHERE status = 'status:O' AND NOT shipped < limit_
+  UNION ALL SELECT DISTINCT ord.s, 'sh:Info', 'quantity below number', 'low', CAST(a.q AS VARCHAR)
+  FROM ord JOIN line a ON a.ord = ord.s JOIN line b ON b.ord = ord.s
+  WHERE status = 'status:P' AND NOT a.q < b.number
+  UNION ALL SELECT seg.s, 'sh:Info', 'a large order', 'large', ord.s FROM seg JOIN ord ON ord.c = seg.s
+  WHERE segment = 'segment:FURNITURE' AND NOT large)"""
+
 ORACLES: dict[str, str] = {
     "q01_json_declared_schema": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q01_multiline_json": f"WITH {OBS} SELECT {_FLAT} FROM obs",
@@ -298,6 +337,8 @@ WHERE id = 'code:5'""",
     "q19_times": f"WITH {OBS} SELECT id AS _id, datum, micros FROM obs",
     "q20_alarm_report": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q20_alarm_report_sql": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
+    "q20_gaps": _GAPS,
+    "q20_gaps_sql": _GAPS,
     "q20_alarm_report_nested": f"""
 WITH {_ALARMS} SELECT 'observation:' || md5(to_json([id, t, md5({_NESTED_ID}), no::VARCHAR])::VARCHAR) AS _id,
   'sosa:Observation' AS _type, foi AS "hasFeatureOfInterest", prop AS "observedProperty",
@@ -352,6 +393,10 @@ SELECT {_REPORT_OUT} FROM found""",
     "q27_constraint_report": (
         f"WITH {OBS},{_REPORT}{_CONSTRAINTS} SELECT {_REPORT_OUT} FROM constrained"
     ),
+    "q27_graph_report": f"WITH {OBS},{_REPORT}{_CONSTRAINTS} SELECT {_REPORT_OUT} FROM constrained",
+    "q27_shapes_for_all": f"""
+WITH {_ORDERED} SELECT focus AS "focusNode", severity AS "resultSeverity", message AS "resultMessage",
+  rule, value, segment FROM shape_report LEFT JOIN seg ON seg.s = focus""",
     "q28_constructed_alarms": _CONSTRUCTED,
     "q28_constructed_alarms_joined": _CONSTRUCTED,
     "q29_merged_alarms": f"""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normwatch.operators.classes import Conjunct
 from normwatch.operators.rules import FIELDS, Rule
+from normwatch.operators.shapes import Shape
 from normwatch.sources.context import STANDARD_CONTEXT, Context
 from normwatch.session import literal_table
 
@@ -28,6 +31,13 @@ BAND_ROWS = [
     ("b12", "NOSUCH", "view", 50.0, None, "som"),
     ("b13", "HOUSEHOLD", "click", 1.2, None, "product"),
 ]
+# Open bands, and bands without a property or a class.
+GAP_BAND_ROWS = [
+    ("g01", "BUILDING", None, None, None, None),
+    ("g02", "MACHINERY", None, 1.0, None, None),
+    ("g03", None, "click", None, None, None),
+    ("g04", "FURNITURE", "error", None, None, None),
+]
 # Unit prices of line items against the list price of the part, per type of part.
 PRICE_BAND_ROWS = [
     ("p01", "ECONOMY", "unitprice", None, 0.5, "product"),
@@ -78,6 +88,28 @@ EXTREME_RULES = [
     Rule("text-exclusive", "sh:Info", "text over 7.5", "min_exclusive", None, "status", lo="7.5"),
 ]
 RULE_FIELDS = {**FIELDS, "ceiling": "ceiling"}
+CEILING_CONTEXT = CONTEXT.merged(Context(terms={"ceiling": ("ex:ceiling", "xsd:decimal")}))
+
+# About customers with no order or many, and orders with many lines.
+_LINES = ("ex:order", "ex:line")
+ORDER_SHAPES = [
+    Shape("has-order", "sh:Warning", "an order", "count", ("ex:order",), "ex:segment", lo="1"),
+    Shape("few-orders", "sh:Info", "at most 14 orders", "count", ("ex:order",), "ex:segment", hi="14"),
+    Shape("few-days", "sh:Info", "two to five days", "count", ("ex:line", "ex:shipped"), "ex:status",
+          "status:F", lo="2", hi="5"),
+    Shape("quantity", "sh:Violation", "above 2", "min_exclusive", (*_LINES, "ex:quantity"),
+          "ex:segment", "segment:BUILDING", lo="2"),
+    Shape("full", "sh:Warning", "49 or more", "match", (*_LINES, "ex:quantity"),
+          "ex:segment", "segment:AUTOMOBILE", lo="49", lo_inclusive=True),
+    Shape("finished", "sh:Violation", "one finished", "has_value", ("ex:order", "ex:status"),
+          "ex:segment", "segment:MACHINERY", operand="status:F"),
+    Shape("in-time", "sh:Violation", "shipped soon", "less_than", ("ex:line", "ex:shipped"),
+          "ex:status", "status:O", other=("ex:limit",)),
+    Shape("low", "sh:Info", "quantity below number", "less_than", ("ex:line", "ex:quantity"),
+          "ex:status", "status:P", other=("ex:line", "ex:number")),
+    Shape("large", "sh:Info", "a large order", "instance", ("ex:order",),
+          "ex:segment", "segment:FURNITURE", operand="ex:LargeOrder"),
+]
 
 CHAIN = {"ex:numericValue": ("sosa:hasResult", "rdf:value")}
 UNIT = "http://qudt.org/schema/qudt/unit"
@@ -156,6 +188,25 @@ def observations_with_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("result", result.withField("numerieke_waarde", text.cast("double")))
 
 
+def observations_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of which some lack the property, some the system, some the number."""
+    number = F.substring_index("_id", ":", -1).cast("long")
+    rows = observations(spark, sf_dir)
+    value = F.when(number % 7 != 5, F.col("result.numerieke_waarde"))
+    return rows.withColumns(
+        {
+            "observedProperty": F.when(number % 5 != 3, F.col("observedProperty")),
+            "hasFeatureOfInterest": F.when(number % 11 != 2, F.col("hasFeatureOfInterest")),
+            "result": F.col("result").withField("numerieke_waarde", value),
+        }
+    )
+
+
+def bands_with_gaps(spark: SparkSession) -> DataFrame:
+    """Bands and beside them open bands without a property, and without a class."""
+    return _band_table(spark, BAND_ROWS + GAP_BAND_ROWS)
+
+
 def observations_at_two_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of observations that share an id."""
     number = F.substring_index("_id", ":", -1).cast("long")
@@ -328,6 +379,43 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, orders and line items as triples; large orders have a type."""
+
+    def triples(rows: DataFrame, s, p: str, o, kind: str, datatype: str | None = None) -> DataFrame:
+        return rows.select(
+            s.alias("s"),
+            F.lit(p).alias("p"),
+            o.cast("string").alias("o"),
+            F.lit(kind).alias("o_kind"),
+            F.lit(datatype).cast("string").alias("datatype"),
+        )
+
+    def named(prefix: str, *keys: str):
+        return F.concat_ws(":", F.lit(prefix), *keys)
+
+    def day(name: str):
+        return F.concat(F.date_format(name, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
+
+    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem")
+    order, line = named("order", "o_orderkey"), named("line", "l_orderkey", "l_linenumber")
+    limit = day(F.date_add(F.col("o_orderdate").cast("date"), 100))
+    large = orders.where("o_totalprice >= 200000")
+    parts = [
+        triples(customers, named("customer", "c_custkey"), "ex:segment", named("segment", "c_mktsegment"), "iri"),
+        triples(orders, named("customer", "o_custkey"), "ex:order", order, "iri"),
+        triples(orders, order, "ex:status", named("status", "o_orderstatus"), "iri"),
+        triples(orders, order, "ex:limit", limit, "literal", "xsd:dateTime"),
+        triples(large, order, "rdf:type", F.lit("ex:LargeOrder"), "iri"),
+        triples(lines, named("order", "l_orderkey"), "ex:line", line, "iri"),
+        triples(lines, line, "ex:shipped", day("l_shipdate"), "literal", "xsd:dateTime"),
+        triples(lines, line, "ex:quantity", F.col("l_quantity"), "literal", "xsd:decimal"),
+        triples(lines, line, "ex:number", F.col("l_linenumber") * 10, "literal", "xsd:integer"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def subclass_triples(spark: SparkSession) -> DataFrame:
     """The class hierarchy as triples."""
     return literal_table(spark, SUBCLASS_ROWS, "s string, o string").select(
