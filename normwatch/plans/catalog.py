@@ -35,6 +35,7 @@ from normwatch.operators.codelists import (
     typed_concepts,
 )
 from normwatch.operators.frames import OBSERVATION_FRAME, Frame, alarm_frame, frame
+from normwatch.operators.hierarchy import label_hierarchy, members_below, superclasses
 from normwatch.operators.rules import (
     construct_alarms,
     merge_alarms,
@@ -54,7 +55,7 @@ from normwatch.plans import testviews as tv
 from normwatch.plans.band_alarms import absolute_bands_sql, alarm_report_sql, run_band_alarms
 from normwatch.plans.code_lists import run_code_lists
 from normwatch.plans.rule_alarms import alarm_triples, run_rule_alarms
-from normwatch.session import scratch_path
+from normwatch.session import literal_table, scratch_path
 from normwatch.sinks import round_trip_parquet, write_json
 from normwatch.sources import from_json_text, read_json, read_observations, unwrap_envelope
 
@@ -671,6 +672,15 @@ def q38_class_members(spark, sf):
     return cls.class_members(triples, tv.CLASSES, tv.CHAIN)
 
 
+@query
+def q38_filled_classes(spark, sf):
+    """Classes defined by classes, one of them by itself."""
+    triples = observation_triples(spark, sf, *tv.CLASS_PREDICATES)
+    graph = triples.unionByName(tv.previous_triples(spark, sf))
+    edges = literal_table(spark, tv.FILLED_SUBCLASSES, "class string, super string")
+    return cls.class_members(graph, tv.FILLED_CLASSES, subclasses=edges)
+
+
 @query
 def q39_inferred_types(spark, sf):
     data = observation_triples(spark, sf, "rdf:type", *tv.CLASS_PREDICATES)
@@ -678,6 +688,22 @@ def q39_inferred_types(spark, sf):
     return cls.infer_types(graphs, tv.CLASSES, tv.CHAIN)
 
 
+@query
+def q39_labelled_superclasses(spark, sf):
+    """All superclasses of every order, from interval labels."""
+    edges = tv.nested_classes(spark, sf)
+    orders = edges.where(F.startswith("class", F.lit("order:")))
+    return superclasses(label_hierarchy(edges), orders)
+
+
+@query
+def q39_labelled_members(spark, sf):
+    """Line items below some classes, without writing out their other superclasses."""
+    hierarchy = label_hierarchy(tv.nested_classes(spark, sf))
+    asked = literal_table(spark, tv.ASKED_CLASSES, "class string")
+    return members_below(tv.ordered_lines(spark, sf), hierarchy, asked)
+
+
 # Scale
 
 

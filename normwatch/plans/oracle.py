@@ -257,6 +257,18 @@ shape_report AS (
   UNION ALL SELECT seg.s, 'sh:Info', 'a large order', 'large', ord.s FROM seg JOIN ord ON ord.c = seg.s
   WHERE segment = 'segment:FURNITURE' AND NOT large)"""
 
+_NESTED = """
+edges AS (
+  SELECT 'order:' || o_orderkey AS class, 'customer:' || o_custkey AS super FROM orders
+  UNION SELECT 'customer:' || c_custkey, 'nation:' || c_nationkey FROM customer
+  UNION SELECT 'customer:' || c_custkey, 'segment:' || c_mktsegment FROM customer
+  UNION SELECT 'nation:' || n_nationkey, 'region:' || n_regionkey FROM nation
+  UNION SELECT 'region:0', 'nation:0' FROM region WHERE r_regionkey = 0
+  UNION SELECT 'region:' || r_regionkey, 'part of:' || r_name FROM region),
+above AS (
+  SELECT class, super FROM edges
+  UNION SELECT a.class, e.super FROM above a JOIN edges e ON a.super = e.class)"""
+
 ORACLES: dict[str, str] = {
     "q01_json_declared_schema": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q01_multiline_json": f"WITH {OBS} SELECT {_FLAT} FROM obs",
@@ -444,10 +456,36 @@ FROM full_triples""",
     "q37_property_chain": f"""
 WITH {_GRAPH},{_PATH} SELECT s, 'ex:numericValue' AS p, o, o_kind, datatype FROM chain""",
     "q38_class_members": f"WITH {_GRAPH},{_PATH},{_MEMBERS} SELECT s, class FROM members",
+    "q38_filled_classes": f"""
+WITH RECURSIVE {OBS}, results AS (
+  SELECT id, '_:' || md5(to_json({{'_id': id, 'resultTime': t}})::VARCHAR) || '-result' AS node,
+         CASE WHEN unit = 'unit:PH' AND num >= 7.5 THEN 'ex:HighResult'
+              WHEN unit = 'unit:PA' AND num < 3 THEN 'ex:LowPressure' END AS class FROM obs),
+previous AS (
+  SELECT 'observation:' || event_id AS id,
+         'observation:' || lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS before
+  FROM events),
+alerting AS (
+  SELECT id FROM obs JOIN results USING (id) WHERE prop = 'prop:click' AND class = 'ex:HighResult'),
+streak AS (
+  SELECT id, false AS defined FROM alerting
+  UNION SELECT p.id, true FROM previous p JOIN streak ON p.before = streak.id
+  JOIN obs o ON o.id = p.id WHERE o.prop = 'prop:click')
+SELECT node AS s, class FROM results WHERE class IS NOT NULL
+UNION ALL SELECT id, 'ex:Notable' FROM results WHERE class IS NOT NULL
+UNION ALL SELECT id, 'ex:Alerting' FROM alerting
+UNION ALL SELECT id, 'ex:Streak' FROM streak WHERE defined""",
     "q39_inferred_types": f"""
 WITH RECURSIVE {_GRAPH},{_PATH},{_MEMBERS},{_INHERITED}
 SELECT s, class FROM stated
 UNION SELECT t.s, up.super FROM stated t JOIN up ON up.sub = t.class""",
+    "q39_labelled_superclasses": f"""
+WITH RECURSIVE {_NESTED} SELECT class, super FROM above WHERE class LIKE 'order:%' AND class <> super""",
+    "q39_labelled_members": f"""
+WITH RECURSIVE {_NESTED}
+SELECT DISTINCT 'line:' || l_orderkey || ':' || l_linenumber AS s, super AS class
+FROM lineitem JOIN above ON class = 'order:' || l_orderkey
+WHERE super IN ({", ".join(f"'{c}'" for c, in tv.ASKED_CLASSES)})""",
     "q40_price_report": f"""
 WITH obs AS (
   SELECT 'line:' || l_orderkey || ':' || l_linenumber AS id, 'part:' || l_partkey AS foi,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normwatch.operators.classes import Conjunct
@@ -129,6 +129,27 @@ CLASSES = {
         Conjunct(("rdf:value",), "<", "3"),
     ],
 }
+ASKED_CLASSES = [("region:0",), ("segment:BUILDING",), ("nation:7",), ("nowhere",)]
+# Classes defined by classes: a click with a high result, and clicks that follow such a one of the
+# same system without a break.
+FILLED_CLASSES = {
+    "ex:HighResult": CLASSES["ex:HighResult"],
+    "ex:LowPressure": CLASSES["ex:LowPressure"],
+    "ex:Alerting": [
+        Conjunct(("sosa:observedProperty",), "is", "prop:click"),
+        Conjunct(("sosa:hasResult",), "a", "ex:HighResult"),
+    ],
+    "ex:Streak": [
+        Conjunct(("sosa:observedProperty",), "is", "prop:click"),
+        Conjunct(("ex:previous",), "a", "ex:Streak"),
+    ],
+    "ex:Notable": [Conjunct(("sosa:hasResult",), "a", "ex:Extreme")],
+}
+FILLED_SUBCLASSES = [
+    ("ex:Alerting", "ex:Streak"),
+    ("ex:HighResult", "ex:Extreme"),
+    ("ex:LowPressure", "ex:Extreme"),
+]
 SUBCLASS_ROWS = [
     ("ex:HighClick", "ex:Alarm"),
     ("ex:Alarm", "ex:Event"),
@@ -379,6 +400,19 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def previous_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each observation of a system linked to the one before it."""
+    line = Window.partitionBy("user_id").orderBy("event_id")
+    before = F.lag("event_id").over(line)
+    return table(spark, sf_dir, "events").withColumn("before", before).where("before is not null").select(
+        F.concat(F.lit("observation:"), F.col("event_id")).alias("s"),
+        F.lit("ex:previous").alias("p"),
+        F.concat(F.lit("observation:"), F.col("before")).alias("o"),
+        F.lit("iri").alias("o_kind"),
+        F.lit(None).cast("string").alias("datatype"),
+    )
+
+
 def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, orders and line items as triples; large orders have a type."""
 
@@ -416,6 +450,37 @@ def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def nested_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders below customers, those below nations and segments, and so on; one region and one of
+    its nations are the same."""
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    orders, regions = table(spark, sf_dir, "orders"), table(spark, sf_dir, "region")
+
+    def pairs(rows: DataFrame, sub: str, sub_key: str, above: str, above_key: str) -> DataFrame:
+        return rows.select(
+            F.concat(F.lit(f"{sub}:"), F.col(sub_key).cast("string")).alias("class"),
+            F.concat(F.lit(f"{above}:"), F.col(above_key).cast("string")).alias("super"),
+        )
+
+    parts = [
+        pairs(orders, "order", "o_orderkey", "customer", "o_custkey"),
+        pairs(customers, "customer", "c_custkey", "nation", "c_nationkey"),
+        pairs(customers, "customer", "c_custkey", "segment", "c_mktsegment"),
+        pairs(nations, "nation", "n_nationkey", "region", "n_regionkey"),
+        pairs(regions.where("r_regionkey = 0"), "region", "r_regionkey", "nation", "r_regionkey"),
+        pairs(regions, "region", "r_regionkey", "part of", "r_name"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as members of the class of their order."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(":", F.lit("line"), "l_orderkey", "l_linenumber").alias("s"),
+        F.concat(F.lit("order:"), F.col("l_orderkey")).alias("class"),
+    )
+
+
 def subclass_triples(spark: SparkSession) -> DataFrame:
     """The class hierarchy as triples."""
     return literal_table(spark, SUBCLASS_ROWS, "s string, o string").select(
