@@ -60,6 +60,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write rows grouped by ``key`` as a table bucketed by it, in the shared folder.
+
+    Joins and groupings of the copy by the key are not shuffled again.  There are as many buckets as
+    shuffle partitions, so the grouping and the buckets agree and each bucket is one file.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").bucketBy(buckets, key).option("path", path)
+    writer.saveAsTable(table)
+    return spark.table(table)
+
+
 def _arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.DecimalType):
         return pa.decimal128(kind.precision, kind.scale)

@@ -81,8 +81,6 @@ def test_triples_are_made_in_place(stored):
         "q20_alarm_report",
         "q28_constructed_alarms_joined",
         "q32_path_values",
-        "q34_framed_observations",
-        "q35_framed_alarms_json",
         "q37_property_chain",
         "q38_class_members",
     ],
