@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from normwatch.functions import alarm_key, date_as_written, now_or
+from normwatch.operators.band_index import indexed_matches
 from normwatch.operators.joins import spread_join
 
 # The names of the columns of reports and alarms, here and below, are the format that
@@ -23,16 +24,23 @@ def inside_band(value: Column, lower: Column, upper: Column) -> Column:
 
 
 def match_bands(
-    observations: DataFrame, bands: DataFrame, bands_bytes: int | None = None
+    observations: DataFrame,
+    bands: DataFrame,
+    bands_bytes: int | None = None,
+    many: int | None = None,
 ) -> DataFrame:
     """Observations joined to every absolute band of their system and property they lie in.
 
     An observation in several bands gives several rows.  A band open on both sides matches every
     observation, also one without a number.  ``bands_bytes`` is an upper bound of the size of the
     bands, if there is one; within the bound for broadcasts the observations are not shuffled.
+    With ``many``, bands of a system and property that has so many of them are found by an index
+    (see :mod:`normwatch.operators.band_index`) instead of being compared one by one.
     """
-    in_band = inside_band(F.col(VALUE), F.col("minValue"), F.col("maxValue"))
     on = [("hasFeatureOfInterest", "lzsid"), ("observedProperty", "parameter")]
+    if many is not None:
+        return indexed_matches(observations, bands, on, F.col(VALUE), many)
+    in_band = inside_band(F.col(VALUE), F.col("minValue"), F.col("maxValue"))
     return spread_join(observations, bands, on, where=in_band, right_bytes=bands_bytes)
 
 
@@ -41,8 +49,12 @@ def alarm_report(
     bands: DataFrame,
     as_of: str | None = None,
     bands_bytes: int | None = None,
+    many: int | None = None,
 ) -> DataFrame:
-    """One flat row per alarm: measured value, reference value and bounds."""
+    """One flat row per alarm: measured value, reference value and bounds.
+
+    ``bands_bytes`` and ``many`` are those of :func:`match_bands`.
+    """
     wanted = bands.select(
         "lzsid",
         "bbid",
@@ -53,7 +65,7 @@ def alarm_report(
         "minValue",
         "maxValue",
     )
-    matched = match_bands(observations, wanted, bands_bytes)
+    matched = match_bands(observations, wanted, bands_bytes, many)
     return matched.select(
         _key("bbid").alias("_id"),
         "hasFeatureOfInterest",

@@ -340,6 +340,25 @@ def q20_alarm_report_sql(spark, sf):
     )
 
 
+@query
+def q20_indexed(spark, sf):
+    """The same report with every band found by the index."""
+    rows = tv.observations(spark, sf)
+    return alarm_report(rows, absolute_bands(spark, sf), tv.AS_OF, many=1)
+
+
+@query
+def q20_indexed_tiers(spark, sf):
+    """Order totals against price tiers: one key with as many bands as there are parts."""
+    return alarm_report(tv.order_observations(spark, sf), tv.price_tiers(spark, sf), tv.AS_OF, many=64)
+
+
+@query
+def q20_indexed_gaps(spark, sf):
+    rows = tv.observations_with_gaps(spark, sf)
+    return alarm_report(rows, _bands_with_gaps(spark, sf), tv.AS_OF, many=2)
+
+
 def _bands_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_bands(tv.systems(spark, sf), tv.bands_with_gaps(spark), unique_ids=True)
 

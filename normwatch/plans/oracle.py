@@ -349,6 +349,20 @@ WHERE id = 'code:5'""",
     "q19_times": f"WITH {OBS} SELECT id AS _id, datum, micros FROM obs",
     "q20_alarm_report": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q20_alarm_report_sql": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
+    "q20_indexed": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
+    "q20_indexed_gaps": _GAPS,
+    "q20_indexed_tiers": f"""
+WITH obs AS (
+  SELECT 'order:' || o_orderkey AS id, 'shop:1' AS foi, 'prop:total' AS prop, o_totalprice AS num,
+         strftime(o_orderdate, '%Y-%m-%d') AS t, CAST(o_orderdate AS DATE) AS datum FROM orders),
+absolute AS (
+  SELECT 'shop:1' AS sys, 'tier:' || p_partkey AS bbid, 'prop:total' AS prop, NULL::INT AS no,
+         NULL::DOUBLE AS ref, 'tier ' || p_partkey AS note, NULL AS kind, NULL AS label, NULL AS class,
+         NULL AS rel_lo, NULL AS rel_hi, NULL AS op,
+         round(p_retailprice * (1 + p_partkey % 200)) AS lo,
+         CASE WHEN p_partkey % 50 <> 0 THEN round(p_retailprice * (1 + p_partkey % 200)) + 400 END AS hi
+  FROM part),
+{MATCHED} SELECT {_REPORT_COLUMNS} FROM matched""",
     "q20_gaps": _GAPS,
     "q20_gaps_sql": _GAPS,
     "q20_alarm_report_nested": f"""

@@ -363,6 +363,33 @@ def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as observations of a total, all of one system."""
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("order:"), F.col("o_orderkey")).alias("_id"),
+        F.lit("shop:1").alias("hasFeatureOfInterest"),
+        F.lit("prop:total").alias("observedProperty"),
+        F.struct(F.col("o_totalprice").alias("numerieke_waarde")).alias("result"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("resultTime"),
+    )
+
+
+def price_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absolute bands of that one system, one for each part; some open above, ends repeat."""
+    key = F.col("p_partkey")
+    low = F.round(F.col("p_retailprice") * (1 + key % 200)).cast("double")
+    return table(spark, sf_dir, "part").select(
+        F.lit("shop:1").alias("lzsid"),
+        F.concat(F.lit("tier:"), key).alias("bbid"),
+        F.lit("prop:total").alias("parameter"),
+        F.lit(None).cast("int").alias("operating_no"),
+        F.lit(None).cast("double").alias("referentiewaarde"),
+        F.concat(F.lit("tier "), key).alias("scopeNote"),
+        low.alias("minValue"),
+        F.when(key % 50 != 0, low + 400).alias("maxValue"),
+    )
+
+
 def price_bands(spark: SparkSession) -> DataFrame:
     return _band_table(spark, PRICE_BAND_ROWS)
 
