@@ -57,7 +57,15 @@ from normwatch.plans.code_lists import run_code_lists
 from normwatch.plans.rule_alarms import alarm_triples, run_rule_alarms
 from normwatch.session import literal_table, scratch_path
 from normwatch.sinks import round_trip_parquet, write_json
-from normwatch.sources import from_json_text, read_json, read_observations, unwrap_envelope
+from normwatch.sources import (
+    from_json_inferred,
+    from_json_text,
+    infer_schema,
+    read_json,
+    read_json_inferred,
+    read_observations,
+    unwrap_envelope,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,7 +139,25 @@ def q03_json_text_records(spark, sf):
 
 
 @query
-def q04_envelope_unwrap(spark, sf):
+def q03_inferred_records(spark, sf):
+    """Observations written as JSON lines, read without a schema."""
+    path = scratch_path(spark, "lines")
+    tv.observations(spark, sf).select(F.to_json(F.struct("*"))).write.text(path)
+    return flat_observations(read_json_inferred(spark, path))
+
+
+@query
+def q03_inferred_schema(spark, sf):
+    """The schema that is found for systems and observations in one table of texts."""
+    systems = tv.systems(spark, sf).select(F.to_json(F.struct("*")).alias("text"))
+    observed = tv.observations(spark, sf).select(F.to_json(F.array(F.struct("*"))).alias("text"))
+    props = tv.table(spark, sf, "events").select(F.col("props").alias("text"))
+    found = infer_schema(systems.union(observed).union(props), "text")
+    rows = [(f.name, f.dataType.simpleString()) for f in found]
+    return literal_table(spark, rows, "field string, kind string")
+
+
+def _documents(spark, sf):
     # One JSON document per event, holding an observation and the system it is about.
     nothing = F.lit(None).cast("string")
     observation = F.struct("_id", "_type")
@@ -139,13 +165,23 @@ def q04_envelope_unwrap(spark, sf):
         F.col("hasFeatureOfInterest").alias("_id"), F.lit("ssn:System").alias("_type")
     )
     document = F.struct(nothing.alias("@context"), F.array(observation, system).alias("@graph"))
-    texts = tv.observations(spark, sf).select(F.to_json(document).alias("text"))
+    return tv.observations(spark, sf).select(F.to_json(document).alias("text"))
+
+
+@query
+def q04_envelope_unwrap(spark, sf):
+    texts = _documents(spark, sf)
     record = schemas.T.StructType(
         [schemas.T.StructField(name, schemas.T.StringType()) for name in ("_id", "_type")]
     )
     return unwrap_envelope(from_json_text(texts, "text", schemas.envelope(record)))
 
 
+@query
+def q04_inferred_envelope(spark, sf):
+    return unwrap_envelope(from_json_inferred(_documents(spark, sf), "text"))
+
+
 def _written_alarms(spark, sf, shape):
     return run_band_alarms(
         tv.systems(spark, sf),

@@ -276,6 +276,20 @@ ORACLES: dict[str, str] = {
     "q03_json_text_records": (
         "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
     ),
+    "q03_inferred_records": f"WITH {OBS} SELECT {_FLAT} FROM obs",
+    # The schema of the texts of the query.
+    "q03_inferred_schema": """
+SELECT * FROM (VALUES
+  ('_id', 'string'), ('_type', 'string'), ('hasFeatureOfInterest', 'string'),
+  ('hasOperatingRange', 'struct<hasOperatingProperty:array<struct<forProperty:string,'
+    || 'maxValue:double,minValue:double,value:double>>>'),
+  ('k', 'bigint'), ('observedProperty', 'string'),
+  ('result', 'struct<_type:string,eenheid:string,kwalitatieve_waarde:string,numerieke_waarde:double>'),
+  ('resultTime', 'string'), ('type', 'string')) AS v(field, kind)
+WHERE (SELECT count(*) FROM events) > 0 AND (SELECT count(*) FROM customer) > 0""",
+    "q04_inferred_envelope": f"""
+WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type FROM obs
+UNION ALL SELECT foi, 'ssn:System' FROM obs""",
     "q04_envelope_unwrap": f"""
 WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type FROM obs
 UNION ALL SELECT foi, 'ssn:System' FROM obs""",

@@ -1,6 +1,7 @@
 """Readers."""
 
 from normwatch.sources.context import Context, STANDARD_CONTEXT, read_context
+from normwatch.sources.inference import from_json_inferred, infer_schema, read_json_inferred
 from normwatch.sources.records import (
     bands_from_alt,
     from_json_text,
@@ -16,9 +17,12 @@ __all__ = [
     "Context",
     "STANDARD_CONTEXT",
     "bands_from_alt",
+    "from_json_inferred",
     "from_json_text",
+    "infer_schema",
     "read_context",
     "read_json",
+    "read_json_inferred",
     "read_observations",
     "read_parquet",
     "systems_from_alt",
