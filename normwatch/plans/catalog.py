@@ -62,8 +62,10 @@ from normwatch.sources import (
     from_json_text,
     infer_schema,
     read_json,
+    read_json_array,
     read_json_inferred,
     read_observations,
+    typed_observations,
     unwrap_envelope,
 )
 
@@ -115,8 +117,7 @@ def q01_json_declared_schema(spark, sf):
     return flat_observations(read_observations(spark, path, multiline=False))
 
 
-@query
-def q01_multiline_json(spark, sf):
+def _array_files(spark, sf) -> str:
     # One file per document, each an array over several lines.
     rows = tv.observations(spark, sf)
     block = F.floor(F.substring_index("_id", ":", -1).cast("long") / 500)
@@ -124,7 +125,19 @@ def q01_multiline_json(spark, sf):
     text = F.replace(F.to_json("r"), F.lit("},{"), F.lit("},\n{"))
     path = scratch_path(spark, "documents")
     documents.select(text).write.option("maxRecordsPerFile", 1).text(path)
-    return flat_observations(read_observations(spark, path, multiline=True))
+    return path
+
+
+@query
+def q01_multiline_json(spark, sf):
+    return flat_observations(read_observations(spark, _array_files(spark, sf), multiline=True))
+
+
+@query
+def q01_array_in_ranges(spark, sf):
+    """The same files read in ranges of 16 KB, each file by several tasks."""
+    rows = read_json_array(spark, _array_files(spark, sf), schemas.OBSERVATION_AS_TEXT, 1 << 14)
+    return flat_observations(typed_observations(rows))
 
 
 @query

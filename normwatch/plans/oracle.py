@@ -271,6 +271,7 @@ above AS (
 
 ORACLES: dict[str, str] = {
     "q01_json_declared_schema": f"WITH {OBS} SELECT {_FLAT} FROM obs",
+    "q01_array_in_ranges": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q01_multiline_json": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q02_parquet_round_trip": "SELECT * FROM lineitem",
     "q03_json_text_records": (

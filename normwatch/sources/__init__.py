@@ -1,5 +1,6 @@
 """Readers."""
 
+from normwatch.sources.arrays import array_records, read_json_array
 from normwatch.sources.context import Context, STANDARD_CONTEXT, read_context
 from normwatch.sources.inference import from_json_inferred, infer_schema, read_json_inferred
 from normwatch.sources.records import (
@@ -16,12 +17,14 @@ from normwatch.sources.records import (
 __all__ = [
     "Context",
     "STANDARD_CONTEXT",
+    "array_records",
     "bands_from_alt",
     "from_json_inferred",
     "from_json_text",
     "infer_schema",
     "read_context",
     "read_json",
+    "read_json_array",
     "read_json_inferred",
     "read_observations",
     "read_parquet",
