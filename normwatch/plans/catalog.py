@@ -56,7 +56,7 @@ from normwatch.plans.band_alarms import absolute_bands_sql, alarm_report_sql, ru
 from normwatch.plans.code_lists import run_code_lists
 from normwatch.plans.rule_alarms import alarm_triples, run_rule_alarms
 from normwatch.session import literal_table, scratch_path
-from normwatch.sinks import round_trip_parquet, write_json
+from normwatch.sinks import replace_dates, round_trip_parquet, write_json
 from normwatch.sources import (
     from_json_inferred,
     from_json_text,
@@ -212,6 +212,44 @@ def q05_parquet_by_date(spark, sf):
     return _flat_alarms(_written_alarms(spark, sf, "compact"))
 
 
+@query
+def q05_late_alarms(spark, sf):
+    """Alarms of most observations, then of one day with its late ones, then twice of all."""
+    out = scratch_path(spark, "late")
+    rows = tv.observations(spark, sf)
+    on_time = F.substring_index("_id", ":", -1).cast("long") % 10 != 0
+    of_day = F.startswith("resultTime", F.lit(tv.DAY))
+    for some in (rows.where(on_time), rows.where(of_day), rows, rows):
+        alarms = run_band_alarms(
+            tv.systems(spark, sf), tv.bands(spark), some, out, as_of=tv.AS_OF, late=True, unique_ids=True
+        )
+    return _flat_alarms(alarms)
+
+
+@query
+def q06_late_json(spark, sf):
+    """The JSON beside such alarms."""
+    out = scratch_path(spark, "late")
+    rows = tv.observations(spark, sf)
+    for some in (rows.where(F.startswith("resultTime", F.lit(tv.DAY))), rows):
+        alarms = run_band_alarms(
+            tv.systems(spark, sf), tv.bands(spark), some, out, as_of=tv.AS_OF, late=True, unique_ids=True
+        )
+    return _flat_alarms(read_json(spark, f"{out}/json", alarms.schema, multiline=False))
+
+
+@query
+def q05_replaced_day(spark, sf):
+    """A day is derived again later; the alarms of other days stay as they are."""
+    path = scratch_path(spark, "replaced")
+    rows, bands = tv.observations(spark, sf), absolute_bands(spark, sf)
+    replace_dates(alarm_observations(rows, bands, as_of=tv.AS_OF), path)
+    of_day = rows.where(F.startswith("resultTime", F.lit(tv.DAY)))
+    again = alarm_observations(of_day, bands, as_of=tv.LATER)
+    replace_dates(again, path)
+    return _flat_alarms(spark.read.schema(again.schema).parquet(path))
+
+
 @query
 def q06_json_by_date(spark, sf):
     path = scratch_path(spark, "report")

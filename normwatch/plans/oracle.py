@@ -295,6 +295,12 @@ UNION ALL SELECT foi, 'ssn:System' FROM obs""",
 WITH {OBS} SELECT id AS _id, 'sosa:Observation' AS _type FROM obs
 UNION ALL SELECT foi, 'ssn:System' FROM obs""",
     "q05_parquet_by_date": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
+    "q05_late_alarms": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
+    "q06_late_json": f"WITH {_ALARMS} SELECT {_alarm_columns('sosa:Result')} FROM matched",
+    "q05_replaced_day": f"""
+WITH {_ALARMS}, flat AS (SELECT {_alarm_columns('sosa:Result')} FROM matched)
+SELECT * REPLACE (CASE WHEN datum = DATE '{tv.DAY}' THEN '{tv.LATER}' ELSE "resultTime" END AS "resultTime")
+FROM flat""",
     "q06_json_by_date": f"WITH {_ALARMS} SELECT {_REPORT_COLUMNS} FROM matched",
     "q05_single_file": f"""
 WITH {_ALARMS} SELECT count(*) AS alarms, count(*) AS ids, 1::BIGINT AS files FROM matched""",

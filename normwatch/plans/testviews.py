@@ -14,6 +14,9 @@ from normwatch.sources.context import STANDARD_CONTEXT, Context
 from normwatch.session import literal_table
 
 AS_OF = "2025-08-08 13:35:09"
+LATER = "2025-08-09 01:02:03"
+# A day of observations that is run again.
+DAY = "2024-01-15"
 
 # (id, class, property, lower, upper, operation): every way a band can be expressed or fail.
 BAND_ROWS = [

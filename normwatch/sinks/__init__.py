@@ -8,9 +8,13 @@ from normwatch.sinks.files import (
     write_ntriples,
     write_parquet,
 )
+from normwatch.sinks.late import add_late, new_rows, replace_dates
 
 __all__ = [
+    "add_late",
+    "new_rows",
     "register_view",
+    "replace_dates",
     "round_trip_parquet",
     "write_json",
     "write_nested_json",
