@@ -26,6 +26,7 @@ from normwatch.operators.bands import (
     resolve_bands_nested,
     with_operating_property,
 )
+from normwatch.operators.canonical import union_loads
 from normwatch.operators.codelists import (
     band_concepts,
     classes_for_concept,
@@ -55,7 +56,7 @@ from normwatch.plans import testviews as tv
 from normwatch.plans.band_alarms import absolute_bands_sql, alarm_report_sql, run_band_alarms
 from normwatch.plans.code_lists import run_code_lists
 from normwatch.plans.rule_alarms import alarm_triples, run_rule_alarms
-from normwatch.session import literal_table, scratch_path
+from normwatch.session import literal_table, scratch_path, written_once
 from normwatch.sinks import replace_dates, round_trip_parquet, write_json
 from normwatch.sources import (
     from_json_inferred,
@@ -329,6 +330,15 @@ def q12_code_list_job(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def q12_reused_concepts(spark, sf):
+    """Concepts by type, derived and written by the first of two jobs and read by the second."""
+    for _ in range(2):
+        some = typed_concepts(tv.codes(spark, sf), "scheme:PROMO", "Brand#7")
+        concepts = written_once(some, "promo-concepts")
+    return concepts.withColumn("dct_type", F.array_join("dct_type", ","))
+
+
 @query
 def q13_with_column(spark, sf):
     rows = tv.table(spark, sf, "lineitem").select(
@@ -695,6 +705,18 @@ def q33_union_of_graphs(spark, sf):
     return union_graphs(kinds, named, named)
 
 
+@query
+def q33_union_of_loads(spark, sf):
+    """What is reached through blank nodes, each once, of a graph that was loaded twice."""
+    wanted = ("sosa:hasResult", "rdf:value")
+    rows = tv.observations(spark, sf)
+    loads = [
+        to_triples(rows, tv.CONTEXT, key, wanted)
+        for key in (tv.NODE_KEY, ("observedProperty", "resultTime", "_id"))
+    ]
+    return path_values(union_loads(*loads), wanted)
+
+
 @query
 def q34_framed_observations(spark, sf):
     framed = frame(observation_triples(spark, sf), OBSERVATION_FRAME)

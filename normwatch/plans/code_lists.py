@@ -11,6 +11,7 @@ from normwatch.operators.codelists import (
     leaf_concepts,
     typed_concepts,
 )
+from normwatch.session import written_once
 from normwatch.sinks import write_parquet
 
 PROPERTY = "http://www.w3.org/ns/ssn/Property"
@@ -28,11 +29,12 @@ def run_code_lists(
 ) -> dict[str, str]:
     """Write schemes, system classes, parameters and bands; returns the path of each.
 
-    Every slice is one narrow pass over the columns it needs.  ``cache`` keeps the code list for
-    the four passes, which pays where it is slow to read; what does not fit in memory goes to disk.
+    Every slice is one narrow pass over the columns it needs.  ``cache`` reads the code list once and
+    keeps a written copy for the four passes and for later jobs on the same files, which pays where
+    it is slow to read or to derive.
     """
     if cache:
-        codes = codes.persist()
+        codes = written_once(codes, "codes")
     slices = {
         "schemes": code_list_schemes(codes, scheme_type),
         "classes": leaf_concepts(codes, class_scheme),
@@ -40,10 +42,6 @@ def run_code_lists(
         "bands": band_concepts(codes, band_scheme),
     }
     paths = {name: f"{out}/{name}" for name in slices}
-    try:
-        for name, rows in slices.items():
-            write_parquet(rows, paths[name])
-    finally:
-        if cache:
-            codes.unpersist()
+    for name, rows in slices.items():
+        write_parquet(rows, paths[name])
     return paths

@@ -461,6 +461,7 @@ WITH {_GRAPH}, named_ AS (
   SELECT * FROM triples WHERE p IN ('sosa:hasFeatureOfInterest', 'sosa:observedProperty'))
 SELECT s, p, o, o_kind, datatype FROM named_
 UNION SELECT o, 'rdf:type', 'kind:' || p, o_kind, datatype FROM named_""",
+    "q33_union_of_loads": f"WITH {_GRAPH},{_PATH} SELECT * FROM chain",
     "q34_framed_observations": f"WITH {OBS} SELECT {_FLAT} FROM obs",
     "q34_framed_at_two_times": f"""
 WITH {OBS} SELECT 'observation:' || (CAST(split_part(id, ':', 2) AS BIGINT) // 2) AS _id,
@@ -530,3 +531,4 @@ WITH obs AS (
 SELECT {_REPORT_COLUMNS} FROM matched""",
 }
 ORACLES["q35_rule_job_json"] = ORACLES["q35_framed_alarms_json"]
+ORACLES["q12_reused_concepts"] = ORACLES["q11_typed_concepts"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import os
 import re
 import shutil
@@ -11,7 +12,9 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -60,6 +63,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _files_mark(df: DataFrame) -> str:
+    """A digest of the names, sizes and times of the files a result is read from."""
+    files = df.inputFiles()
+    if not files:
+        return "none"
+    listed = df.sparkSession.read.format("binaryFile").load(files)
+    each = F.xxhash64("path", "modificationTime", "length")
+    row = listed.select(each.alias("h")).agg(F.bit_xor("h"), F.count("*")).first()
+    return f"{row[0]}-{row[1]}"
+
+
+def written_once(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The written copy of ``df``, written by whoever asks for it first.
+
+    A copy is known by ``name``, the plan, its columns and the state of the files it reads; if any of
+    them changes, a new copy is written.  Nothing is held in the memory of executors.  ``folder``
+    (default: the shared folder) keeps the copies; one that was not finished is not used.  Plans
+    that read anything but files, or are not repeatable, should not be kept like this.
+    """
+    spark = df.sparkSession
+    parts = (name, str(df.semanticHash()), df.schema.json(), _files_mark(df))
+    mark = hashlib.sha256("\n".join(parts).encode()).hexdigest()
+    base = f"{(folder or shared_dir(spark)).rstrip('/')}/{name}-{mark}"
+    try:
+        found = spark.read.schema("path string").json(f"{base}/done").agg(F.min("path")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    if found is None:
+        found = f"{base}/{uuid.uuid4().hex}"
+        df.write.parquet(found)
+        done = literal_table(spark, [(found,)], "path string")
+        done.write.mode("append").json(f"{base}/done")
+    return spark.read.schema(df.schema).parquet(found)
+
+
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """Write rows grouped by ``key`` as a table bucketed by it, in the shared folder.
 
