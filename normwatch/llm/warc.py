@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from normwatch.llm.common import table
+from normwatch.llm.common import stored, table
 
 BLOCK_SECONDS = 86_400
 # Header fields that a 304 response may send for the stored one (RFC 9110, 15.4.5).
@@ -125,25 +125,24 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
         .groupBy("body_id")
         .agg(F.max_by(F.struct("old_headers", "payload"), "payload").alias("body"))
     )
-    wanted = F.when(F.col("status") == RESOLVED, F.col("response_id"))
-    merged = judged.join(bodies, wanted == F.col("body_id"), "left")
+    # Only resolved revisits look for a body: the others would all meet without a key.
+    judged = stored(judged, "judged")
+    resolved = judged.where(F.col("status") == RESOLVED)
+    merged = resolved.join(bodies, F.col("response_id") == F.col("body_id"), "left")
     permitted = F.map_filter("http_headers", lambda k, v: k.isin(*PERMITTED))
     untouched = F.map_filter(
         F.coalesce(F.col("body.old_headers"), F.expr("cast(map() as map<string,string>)")),
         lambda k, v: ~F.map_contains_key(permitted, k),
     )
-    resolved = F.col("status") == RESOLVED
-    return merged.select(
-        "record_id",
-        "canonical_url",
-        "warc_date",
-        "status",
-        "response_id",
-        F.when(resolved, F.map_concat(untouched, permitted))
-        .otherwise(F.col("http_headers"))
-        .alias("http_headers"),
-        F.when(resolved, F.col("body.payload")).alias("payload"),
+    told = ["record_id", "canonical_url", "warc_date", "status", "response_id"]
+    kind = records.schema["payload"].dataType
+    found = merged.select(
+        *told,
+        F.map_concat(untouched, permitted).alias("http_headers"),
+        F.col("body.payload").alias("payload"),
     )
+    others = judged.where(F.col("status") != RESOLVED)
+    return found.unionByName(others.select(*told, "http_headers", F.lit(None).cast(kind).alias("payload")))
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
