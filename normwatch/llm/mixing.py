@@ -146,7 +146,7 @@ class MixPlan:
     seed: int
 
     def rows(self, keyed: DataFrame) -> DataFrame:
-        """``keyed`` (with doc_id and source) once for every pass that takes a row.
+        """``keyed`` (with mix_key and source) once for every pass that takes a row.
 
         Adds mix_pass, mix_block, mix_rank (place of the block in the pass) and mix_at (share of
         the source's budget that lies before the block).
@@ -177,11 +177,11 @@ class MixPlan:
 
 def _placed(keyed: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """Adds what the plan knows of the source, the block of the row, and its order in the block."""
-    order = _hash(F.col("doc_id").cast("long"), F.lit(seed))
+    order = _hash(F.col("mix_key"), F.lit(seed))
     joined = keyed.join(
         F.broadcast(sources), same(F.col("source").cast("string"), F.col("m_source"))
     )
-    block = F.pmod(_hash(F.col("doc_id").cast("long"), F.lit(seed + 1)), F.col("blocks"))
+    block = F.pmod(_hash(F.col("mix_key"), F.lit(seed + 1)), F.col("blocks"))
     return joined.withColumn("mix_block", block.cast("int")).withColumn("mix_order", order)
 
 
@@ -193,7 +193,7 @@ def make_plan(
     seed: int = 1,
     block_tokens: int = BLOCK_TOKENS,
 ) -> MixPlan:
-    """Plan from written rows doc_id, source and n_tokens (at least 1 each)."""
+    """Plan from written rows as ``keyed_rows`` gives them, of at least one token each."""
     spark = rows.sparkSession
     sums = rows.groupBy(F.col("source").cast("string").alias("source")).agg(
         F.sum("n_tokens").alias("t")
@@ -248,7 +248,7 @@ def make_plan(
         F.broadcast(cut),
         same(F.col("m_source"), F.col("c_source")) & (F.col("mix_block") == F.col("c_block")),
     )
-    # Rows that share a doc_id share their place and are taken or left together.
+    # Rows that share doc_id and text share their place and are taken or left together.
     inside = inside.groupBy("c_source", "c_block", "c_pass", "rest", "mix_order").agg(
         F.sum("n_tokens").alias("n")
     )
@@ -279,11 +279,18 @@ def make_plan(
     return MixPlan(mixture, sources, stored(blocks, "mix_blocks"), seed)
 
 
+def _place_key() -> Column:
+    """What a row is placed by: its id and its text, so rows without ids are spread too."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.xxhash64(F.col("doc_id").cast("long"), text)
+
+
 def keyed_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, source and n_tokens of every row, written."""
+    """doc_id, mix_key, source and n_tokens of every row, written."""
     return stored(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
+            _place_key().alias("mix_key"),
             F.col("source").cast("string").alias("source"),
             words_and_end(F.col("text")).alias("n_tokens"),
         ),
@@ -294,18 +301,19 @@ def keyed_rows(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, n_tokens, mix_pass, mix_block, mix_rank and mix_at of every row taken.
 
-    Sorted by mix_at the rows are the mixed stream, a block of one source at a time.  A null source
+    Rows are placed by doc_id and text, so null and repeated ids are spread; rows that share both are
+    taken or left together.  Sorted by mix_at the rows are the mixed stream, a block of one source at a time.  A null source
     is a source of its own; a null or empty text counts one token.  Options as in ``make_plan``.
     """
     rows = keyed_rows(docs)
-    return make_plan(rows, **options).rows(rows)
+    return make_plan(rows, **options).rows(rows).drop("mix_key")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with all their columns, once for each pass that takes them."""
     plan = make_plan(keyed_rows(docs), **options)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"))
+    keyed = docs.select(row, _place_key().alias("mix_key"), F.col("source").alias("source"))
     return plan.rows(keyed).select("row.*")
 
 

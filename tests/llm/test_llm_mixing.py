@@ -67,6 +67,24 @@ def test_passes_and_budgets(spark, options):
     assert all(sorted(x) == list(range(len(x))) for x in order.values())
 
 
+@pytest.mark.parametrize("seed", range(1, 7))
+def test_budgets_are_met_without_ids(spark, seed):
+    rows = [
+        (None if i % 3 == 0 else i % 40, f"x{i} " + "w " * (i % 9), "big" if i % 5 else "small")
+        for i in range(1500)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    totals = Counter()
+    for _, text, source in rows:
+        totals[source] += len(text.split()) + 1
+    plan = mx.plan_mixture(list(totals.items()), budget=3000)
+    used = Counter()
+    for r in mx.mix(docs, block_tokens=200, budget=3000, seed=seed).collect():
+        used[r["source"]] += r["n_tokens"]
+    for source, budget in zip(plan.sources, plan.budgets):
+        assert budget - 10 < used[source] <= budget
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark)
     rows = mx.mix(docs).collect()
