@@ -572,19 +572,23 @@ def nearest_of_rows(vectors: DataFrame, is_query: Column, count: int = 20) -> Da
 
     ``is_query`` is a condition on vec_id.  Ties go to the smaller vec_id.  Rows that take no part
     are neither queries nor candidates; a query with fewer candidates gets all of them that are found.
+    Rows that repeat a vec_id are one query and one candidate: with equal vectors they count once, and
+    of several vectors the pair that is nearest does.  Other columns are ignored.
     """
     graph = build_graph(vectors)
-    asking = graph.members.where(is_query)
+    members = graph.members.select("node", "vec_id").distinct()
+    asking = members.where(is_query)
     wanted = asking.select("node").distinct().withColumnRenamed("node", "start")
     queries = graph.nodes.join(wanted, F.col("node") == F.col("start")).select(
         F.col("node").alias("query"), "embedding", "start"
     )
     found = stored(search_graph(graph, queries), "found")
     # Of equal vectors a query needs the smallest ids, and one more if it is among them itself.
-    least = graph.members.selectExpr(
+    least = members.selectExpr(
         "node as m", "vec_id", "row_number() over (partition by node order by vec_id) as r"
     ).where(F.col("r") <= count + 1)
-    options = found.join(least, F.col("node") == F.col("m")).select("query", "vec_id", "score")
+    options = found.join(least, F.col("node") == F.col("m"))
+    options = options.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     options = options.selectExpr(
         "query as s", "vec_id", "score",
         "row_number() over (partition by query order by score desc, vec_id) as r",
@@ -592,7 +596,8 @@ def nearest_of_rows(vectors: DataFrame, is_query: Column, count: int = 20) -> Da
     each = asking.select(F.col("vec_id").alias("query_id"), F.col("node").alias("a")).join(
         options, F.col("a") == F.col("s")
     )
-    each = each.where("query_id <> vec_id")
+    each = each.where("query_id <> vec_id").groupBy("query_id", "vec_id")
+    each = each.agg(F.max("score").alias("score"))
     return each.selectExpr(
         "query_id",
         "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank",

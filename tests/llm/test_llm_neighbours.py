@@ -39,6 +39,28 @@ def test_whole_neighbourhoods_and_ties(spark):
         assert np.allclose([s for _, s in by[query]], [s for _, s in found])
 
 
+def test_repeated_rows_and_ids_count_once(spark):
+    rng = np.random.default_rng(3)
+    plain = [(i, rng.standard_normal(5)) for i in range(60)]
+    # Rows 20 and 33 twice, and two ids that have other vectors too.
+    more = [plain[20], plain[33], (40, rng.standard_normal(5)), (7, rng.standard_normal(5))]
+    table = table_of(spark, plain + more).withColumn("score", F.lit("own")).withColumn("node", F.lit(1))
+    got = {}
+    for r in nn.nearest_of_rows(table, F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    vectors = [(i, np.array(v, np.float32).astype(float)) for i, v in plain + more]
+    for query in (0, 20, 40):
+        best = {}
+        for i, x in vectors:
+            for j, y in vectors:
+                if i == query and j != query:
+                    best[j] = max(best.get(j, -np.inf), float(np.sum(x * y)))
+        want = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:5]
+        assert [(n, j) for n, j, _ in sorted(got[query])] == [(n + 1, j) for n, (j, _) in enumerate(want)]
+        assert np.allclose([s for *_, s in sorted(got[query])], [s for _, s in want])
+    assert sorted(got) == [0, 20, 40]
+
+
 def test_few_and_no_rows(spark):
     one = table_of(spark, [(0, [1, 2]), (1, [2, 1])])
     rows = nn.nearest_of_rows(one, F.col("vec_id") % 20 == 0).collect()
