@@ -16,8 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-# Pieces remembered by one Python worker before it starts anew; bounds its memory, not its results.
+# Pieces and characters of them remembered by one Python worker before it starts anew; they bound its
+# memory, not its results.
 REMEMBERED = 350_000
+REMEMBERED_LETTERS = 16 << 20
 # UTF-8 bytes of the texts handled at a time, but for a single longer text.
 SLICE_BYTES = 4 << 20
 
@@ -44,6 +46,7 @@ class _Known(dict):
     def __missing__(self, part: str) -> int:
         number = self.owner.numbered
         self.owner.numbered += 1
+        self.owner.letters += len(part)
         self.owner.waiting.append(self.lead + part)
         self[part] = number
         return number
@@ -64,7 +67,7 @@ class PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.numbered = 0
+        self.numbered = self.letters = 0
         self.waiting: list[str] = []
         self.led, self.bare = _Known(self, " "), _Known(self, "")
         self.flat = array("i")
@@ -120,6 +123,6 @@ class PieceTable:
             yield flat[np.repeat(begin - upto + size, size) + np.arange(total)]
 
     def tidy(self) -> None:
-        """Forget all pieces when there are too many of them.  Call between slices."""
-        if self.numbered > REMEMBERED:
+        """Forget all pieces when there are too many or too long ones.  Call between slices."""
+        if self.numbered > REMEMBERED or self.letters > REMEMBERED_LETTERS:
             self.clear()

@@ -105,3 +105,15 @@ def test_forgetting_pieces_changes_nothing(vocabulary, library, texts, monkeypat
         found = list(table.values([table.numbers(text)]))
         assert found[0].tolist() == library.encode_ordinary(text)
         table.tidy()
+
+
+def test_pieces_are_bounded_by_their_letters(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(pretokens, "REMEMBERED_LETTERS", 100_000)
+    table = pretokens.PieceTable(public.PATTERN, vocabulary.encode_tokens)
+    rng = random.Random(4)
+    for _ in range(40):
+        text = "".join(rng.choice("abcdé漢") for _ in range(20_000))
+        found = list(table.values([table.numbers(text)]))
+        assert found[0].tolist() == library.encode_ordinary(text)
+        table.tidy()
+        assert sum(map(len, [*table.led, *table.bare])) <= 100_000
