@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from normwatch.sources import array_records, read_json_array
+from normwatch.sources import array_records, arrays, read_json_array
 
 TEXT = ['"', "\\", "{", "}", "[", "]", ",", ":", "é", "\n", "a", " ", "\t", "漢"]
 
@@ -61,3 +61,20 @@ def test_what_is_no_record(spark, tmp_path):
     assert texts == ['1, {"a": 1}', '{"a": 2}', '{"a": [{}]}']
     read = read_json_array(spark, str(tmp_path), corrupt="bad", range_bytes=8)
     assert sorted(r["bad"] for r in read.collect() if r["bad"]) == ['1, {"a": 1}']
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    records = [{"a": i, "b": f"}}{{ \"{i}\" ["} for i in range(400)]
+    path = str(tmp_path / "one.json")
+    with open(path, "w") as out:
+        json.dump(records, out)
+    before = spark.conf.get(arrays.RANGE_CONF)
+    spark.conf.set(arrays.RANGE_CONF, "64")
+    try:
+        pieces = arrays._pieces(spark, path, 1 << 20)
+        assert pieces.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert pieces.select("start").distinct().count() > 100
+    finally:
+        spark.conf.set(arrays.RANGE_CONF, before)
+    texts = arrays.array_records(spark, path, 64).collect()
+    assert sorted(json.loads(r["value"])["a"] for r in texts) == list(range(400))
