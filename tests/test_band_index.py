@@ -90,3 +90,22 @@ def test_ten_thousand_bands_of_one_key(spark):
     # The first two of each have fewer below them.
     assert joined.count() == (2 * n - 3) + (3 * n - 3)
     assert joined.where("result.numerieke_waarde <= minValue or result.numerieke_waarde >= maxValue").isEmpty()
+
+
+def test_rows_of_a_full_block_are_dealt_over_salts(spark):
+    bands = [("k", f"b{i}", float(i % 7), None if i % 3 == 0 else float(i % 7 + 20)) for i in range(40)]
+    rows = [("k", i, i * 0.5) for i in range(60)] + [("k", 59, 29.5), ("other", 1, 5.0)]
+    table = spark.createDataFrame(bands, "key string, band string, minValue double, maxValue double")
+    index = band_index.BandIndex(table, ["key"], full_block=4)
+    given = spark.createDataFrame(rows, "of string, no int, v double")
+    found = index.matches(given, ["of"], F.col("v"), block_matches=50)
+    assert sorted((r["no"], r["band"]) for r in found.collect()) == sorted(
+        (no, band)
+        for of, no, v in rows
+        for key, band, low, high in bands
+        if of == key and v > low and (high is None or v < high)
+    )
+    met = spark.createDataFrame([("k", 0, 0, 100)], "of string, l_ int, n_ long, n_slot long")
+    full = spark.createDataFrame([("k", 0, 0, 20)], "f_key string, f_level int, f_block long, n_bands long")
+    index.full = full
+    assert index._spread(met, [("of", "key")], 50).first()["salts"] == 40
