@@ -6,7 +6,7 @@ of its component tell no more nodes apart.  What is still alike is symmetric and
 made from the colour, so equal components get equal labels whatever else the graphs hold.
 
 Colours change only along links between blank nodes, so triples with names at the other end are read
-once.  A component that has settled takes no further part.
+once.  A component that has settled takes no further part, and a node without links is settled at once.
 """
 
 from __future__ import annotations
@@ -27,14 +27,19 @@ def _is_blank(name: str) -> Column:
     return F.startswith(name, F.lit("_:"))
 
 
-def _line_sums(*parts: Column) -> list[Column]:
-    """Sums that hardly ever agree for different sets of lines; combined before a shuffle."""
+def _line_hashes(*parts: Column) -> list[Column]:
     text = F.to_json(F.array(*[p.cast("string") for p in parts]))
-    sums = []
+    hashes = []
     for seed in (1, 2):
         hashed = F.xxhash64(F.lit(seed), text)
-        sums.append(F.sum(F.when(text.isNotNull(), hashed.bitwiseAND(F.lit(0xFFFFFFFF)))))
-        sums.append(F.sum(F.shiftrightunsigned(hashed, 32)))
+        hashes.append(F.when(text.isNotNull(), hashed.bitwiseAND(F.lit(0xFFFFFFFF))))
+        hashes.append(F.shiftrightunsigned(hashed, 32))
+    return hashes
+
+
+def _line_sums(*parts: Column) -> list[Column]:
+    """Sums that hardly ever agree for different sets of lines; combined before a shuffle."""
+    sums = [F.sum(h) for h in _line_hashes(*parts)]
     return [F.coalesce(s, F.lit(0)).alias(f"sum{i}") for i, s in enumerate(sums)]
 
 
@@ -145,11 +150,21 @@ def canonical_labels(triples: DataFrame) -> DataFrame:
     nodes colours cannot tell apart although they are not symmetric (regular ones, of eight nodes
     and more) keep labels that depend on the old ones.
     """
+    graph, between = _written(triples)
+    return _labels(graph, between)
+
+
+def _written(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The triples, each once, and those of them that have blank nodes at both ends."""
     graph = cut_lineage(triples.select(*_TRIPLE).distinct())
+    return graph, cut_lineage(graph.where(_is_blank("s") & (F.col("o_kind") == "bnode")))
+
+
+def _labels(graph: DataFrame, between: DataFrame) -> DataFrame:
     subject, object_ = _is_blank("s"), F.col("o_kind") == "bnode"
     out = F.concat(F.lit("out "), F.col("p"))
     into = F.concat(F.lit("in "), F.col("p"))
-    linked = graph.where(subject & object_ & (F.col("s") != F.col("o")))
+    linked = between.where(F.col("s") != F.col("o"))
     links = linked.select(F.col("s").alias("node"), F.col("o").alias("other"), out.alias("line")).union(
         linked.select(F.col("o"), F.col("s"), into)
     )
@@ -160,12 +175,37 @@ def canonical_labels(triples: DataFrame) -> DataFrame:
         F.col("s").alias("node"), out.alias("line"), F.to_json(F.array("o", "o_kind", "datatype")).alias("value")
     )
     fixed = fixed.union(graph.where(~subject & object_).select("o", into, "s"))
-    loops = graph.where(subject & object_ & (F.col("s") == F.col("o")))
+    loops = between.where(F.col("s") == F.col("o"))
     fixed = fixed.union(loops.select("s", F.concat(F.lit("loop "), F.col("p")), F.lit("")))
     fixed = fixed.union(links.select("node", F.lit(None).cast("string"), F.lit(None).cast("string")))
     # Lines of links are counted when colours are; here they only name their node.
-    said = fixed.groupBy("node").agg(*_line_sums(F.col("line"), F.col("value")))
-    base = cut_lineage(said.select("node", _digest(*_SUMS).alias("colour")))
+    # The joins below keep named nodes only; said here, all of them read one exchange.
+    said = fixed.where("node is not null").groupBy("node").agg(*_line_sums(F.col("line"), F.col("value")))
+    base = said.select("node", _digest(*_SUMS).alias("colour"))
+    if links.isEmpty():
+        return _labels_alone(base)
+    base = cut_lineage(base)
+    ends = links.select(F.col("node").alias("e_node"))
+    alone = spread_join(base, ends, [("node", "e_node")], "left_anti")
+    base = spread_join(base, ends, [("node", "e_node")], "left_semi")
+    return _labels_linked(base, links).unionByName(_labels_alone(alone))
+
+
+def _labels_alone(base: DataFrame) -> DataFrame:
+    """Labels of nodes without links from their colours.  Few are copies; only those are numbered."""
+    sums = [F.coalesce(h, F.lit(0)) for h in _line_hashes(F.col("colour"))]
+    kinds = base.withColumn("kind", F.unhex(_digest(F.lit(1), *sums)))
+    again = kinds.groupBy(F.col("kind").alias("a_kind")).agg(F.count("*").alias("n")).where("n > 1")
+    copies = spread_join(kinds, again.drop("n"), [("kind", "a_kind")], "left_semi")
+    number = F.row_number().over(Window.partitionBy("kind").orderBy("node"))
+    copies = copies.select(F.col("node").alias("c_node"), number.alias("copy"))
+    numbered = spread_join(kinds, copies, [("node", "c_node")], "left")
+    kind, copy = F.lower(F.hex("kind")), F.coalesce("copy", F.lit(1))
+    return numbered.select("node", F.concat(F.lit("_:c"), _digest(F.col("colour"), kind, copy)).alias("label"))
+
+
+def _labels_linked(base: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels of nodes that are linked with others."""
     comps = _components(base, links).select(F.col("node").alias("n_node"), "comp")
     state = spread_join(base, comps, [("node", "n_node")]).select("comp", "node", "colour")
     state = cut_lineage(_settled(cut_lineage(state), links))
@@ -194,16 +234,21 @@ def canonical_labels(triples: DataFrame) -> DataFrame:
 
 def canonical_graph(triples: DataFrame) -> DataFrame:
     """The triples, each once, with canonical labels of blank nodes."""
-    labels = cut_lineage(canonical_labels(triples))
-    rows = triples.select(*_TRIPLE).distinct()
+    graph, between = _written(triples)
+    labels = _labels(graph, between).select(F.col("node").alias("b_node"), F.col("label").alias("b_label"))
+    blank, object_ = _is_blank("s"), F.col("o_kind") == "bnode"
+    # Only triples with blank nodes take part in joins, those with one of them in one.
+    one = graph.where(blank != object_).withColumn("named", F.when(blank, F.col("s")).otherwise(F.col("o")))
+    one = spread_join(one, labels, [("named", "b_node")])
+    ends = {"s": F.when(blank, F.col("b_label")).otherwise(F.col("s"))}
+    ends["o"] = F.when(blank, F.col("o")).otherwise(F.col("b_label"))
+    rows = graph.where(~blank & ~object_).unionByName(one.withColumns(ends).select(*_TRIPLE))
+    if between.isEmpty():
+        return rows
     for name in ("s", "o"):
-        blank = _is_blank("s") if name == "s" else F.col("o_kind") == "bnode"
-        mine = labels.select(F.col("node").alias("b_node"), F.col("label").alias("b_label"))
-        # Only blank nodes take part in the join.
-        replaced = spread_join(rows.where(blank), mine, [(name, "b_node")])
-        replaced = replaced.withColumn(name, F.col("b_label")).select(*_TRIPLE)
-        rows = rows.where(~blank).unionByName(replaced)
-    return rows
+        between = spread_join(between, labels, [(name, "b_node")])
+        between = between.withColumn(name, F.col("b_label")).select(*_TRIPLE)
+    return rows.unionByName(between)
 
 
 def union_loads(*graphs: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ import random
 import pytest
 
 from normwatch import schemas
-from normwatch.operators.canonical import canonical_graph, union_loads
+from normwatch.operators import canonical as colours
+from normwatch.operators.canonical import canonical_graph, canonical_labels, union_loads
 from normwatch.operators.triples import to_triples
 from normwatch.sources import STANDARD_CONTEXT
 from samples import observations
@@ -98,3 +99,20 @@ def test_no_blank_nodes(spark):
     triples = {("a", "p", "b", "iri"), ("a", "v", "1", "literal")}
     assert canonical(spark, triples) == triples
     assert canonical_graph(table(spark, triples).where("false")).count() == 0
+
+
+def test_nodes_without_links_are_settled_at_once(spark, monkeypatch):
+    ddl = "s string, p string, o string, o_kind string, datatype string"
+    rows = [(f"_:{i}", "p:v", str(i // 2), "literal", None) for i in range(6)]
+    rows += [(f"n:{i}", "p:r", f"_:{i}", "bnode", None) for i in (0, 1, 4)]
+    chain = [("_:x", "p:next", "_:y", "bnode", None), ("_:y", "p:v", "1", "literal", None)]
+    written = []
+    cut = colours.cut_lineage
+    monkeypatch.setattr(colours, "cut_lineage", lambda df: written.append(df) or cut(df))
+    alone = {r["node"]: r["label"] for r in canonical_labels(spark.createDataFrame(rows, ddl)).collect()}
+    # The triples, those between blank nodes, and the links: no rounds.
+    assert len(written) == 3
+    assert set(alone) == {f"_:{i}" for i in range(6)} and len(set(alone.values())) == 6
+    beside = canonical_labels(spark.createDataFrame(rows + chain, ddl)).collect()
+    assert {r["node"]: r["label"] for r in beside if r["node"] in alone} == alone
+    assert len({r["label"] for r in beside}) == 8
