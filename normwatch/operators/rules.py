@@ -108,8 +108,14 @@ def _pick(choice: Column, names: Sequence[str], value_of) -> Column:
     return picks[0] if len(picks) == 1 else F.coalesce(*picks)
 
 
-def violation_of(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
-    """Condition over a joined observation and rule; only branches that occur are built."""
+def violation_of(
+    rules: Sequence[Rule], fields: Mapping[str, str], numbers: Mapping[str, str] | None = None
+) -> Column:
+    """Condition over a joined observation and rule; only branches that occur are built.
+
+    ``numbers`` names columns that hold the fields as numbers; ``lo_number`` and ``hi_number`` hold the
+    limits then.
+    """
     names = sorted({r.field for r in rules})
     others = sorted({r.other for r in rules if r.other})
 
@@ -117,12 +123,12 @@ def violation_of(rules: Sequence[Rule], fields: Mapping[str, str]) -> Column:
         return F.col(fields[name]).cast("string")
 
     def number(name: str) -> Column:
-        return to_number(F.col(fields[name]))
+        return F.col(numbers[name]) if numbers else to_number(F.col(fields[name]))
 
     def moment(name: str) -> Column:
         return instant(text(name))
 
-    lo, hi = to_number(F.col("lo")), to_number(F.col("hi"))
+    lo, hi = (F.col(f"{n}_number") if numbers else to_number(F.col(n)) for n in ("lo", "hi"))
 
     def matches() -> Column:
         value = _pick(F.col("field"), names, number)

@@ -119,17 +119,24 @@ class _Compiled:
         paths |= {(s.target_predicate,) for s in self.shapes} | set(carried.values())
         number = path_numbers(sorted(paths))
         self.at = {path: number[path] for path in paths}
-        reached = reached_values(triples, number).where(F.col("at").isin(sorted(self.at.values())))
+        reached = reached_values(triples, number, self.at.values())
+        # Numbers are read from their text once, where a shape compares them with a limit.
+        numbers = {self.at[s.path] for s in self.shapes if s.kind in ("match", "min_exclusive")}
         # Read several times below; a subject reaches a value once, however many ways lead there.
-        self.reached = cut_lineage(reached.select("s", "o", "o_kind", "at"))
+        self.reached = cut_lineage(
+            reached.withColumn("number", F.when(F.col("at").isin(sorted(numbers)), to_number(F.col("o"))))
+        )
 
     def of(self, kinds: Sequence[str]) -> list[tuple[int, Shape]]:
         return [(i, s) for i, s in enumerate(self.shapes) if s.kind in kinds]
 
-    def at_ends(self, rows: list[tuple], ddl: str) -> DataFrame:
-        """Reached values with the rows (path number first) of the table for their path."""
+    def at_ends(self, rows: list[tuple], ddl: str, numbers: Sequence[str] = ()) -> DataFrame:
+        """Reached values with the rows (path number first) of the table for their path; some of
+        its columns also as numbers."""
         table = literal_table(self.spark, rows, f"end int, {ddl}")
-        return spread_join(self.reached, table, [("at", "end")], right_bytes=driver_bytes(rows))
+        table = table.withColumns({f"{n}_number": to_number(F.col(n)) for n in numbers})
+        values = self.reached.where(F.col("at").isin(sorted({row[0] for row in rows})))
+        return spread_join(values, table, [("at", "end")], right_bytes=driver_bytes(rows))
 
     def focus(self, shapes: Sequence[tuple[int, Shape]]) -> DataFrame:
         """``(focus, shape)`` for the targets of some shapes, each once."""
@@ -148,7 +155,8 @@ def _offending(compiled: _Compiled) -> DataFrame:
         for (i, s), r in zip(some, rules)
     ]
     ddl = "shape int, kind string, field string, lo string, hi string, lo_inclusive boolean, hi_inclusive boolean"
-    hits = compiled.at_ends(rows, ddl).where(violation_of(rules, {"value": "o"}))
+    hits = compiled.at_ends(rows, ddl, ["lo", "hi"])
+    hits = hits.where(violation_of(rules, {"value": "o"}, {"value": "number"}))
     return hits.select("s", "shape", "o")
 
 
@@ -174,9 +182,17 @@ def _not_less(compiled: _Compiled) -> DataFrame:
     of values is formed.  Numbers compare as numbers, all else as moments.
     """
     some = compiled.of(["less_than"])
-    values = compiled.at_ends([(compiled.at[s.path], i) for i, s in some], "shape int")
-    others = compiled.at_ends([(compiled.at[s.other], i) for i, s in some], "shape int")
-    number, moment = to_number(F.col("o")), instant(F.col("o"))
+    focus = compiled.focus(some).withColumnRenamed("shape", "of_shape")
+
+    def of_targets(ends: list[tuple]) -> DataFrame:
+        """Values of targets only; their numbers and moments are read once, after the others are gone."""
+        rows = compiled.at_ends(ends, "shape int").select("s", "shape", "o")
+        rows = spread_join(rows, focus, [("s", "focus"), ("shape", "of_shape")], how="left_semi")
+        return rows.withColumns({"number": to_number(F.col("o")), "moment": instant(F.col("o"))})
+
+    values = of_targets([(compiled.at[s.path], i) for i, s in some])
+    others = of_targets([(compiled.at[s.other], i) for i, s in some])
+    number, moment = F.col("number"), F.col("moment")
     plain = number.isNull()
     inexact = F.when(number["exact"].isNull(), number["approx"])
     facts = others.groupBy(F.col("s").alias("f_s"), F.col("shape").alias("f_shape")).agg(
@@ -191,7 +207,7 @@ def _not_less(compiled: _Compiled) -> DataFrame:
         F.min(F.when(plain, moment)).alias("least_plain_moment"),
     )
     joined = spread_join(
-        values.select("s", "shape", "o"), facts, [("s", "f_s"), ("shape", "f_shape")]
+        values, facts, [("s", "f_s"), ("shape", "f_shape")]
     )
     exactly = number["exact"].isNull() | F.col("least_exact").isNull()
     exactly = exactly | (number["exact"] < F.col("least_exact"))

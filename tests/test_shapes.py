@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from normwatch.operators.rules import Rule, validate
+from normwatch.operators import shapes
 from normwatch.operators.shapes import Shape, shapes_of, validate_graph
 from normwatch.operators.triples import to_triples
 from normwatch.plans import testviews as tv
@@ -191,3 +192,18 @@ def test_wrong_shapes_are_refused():
         shape("x", "count", ())
     with pytest.raises(ValueError):
         shapes_of([Rule("x", "sh:Info", "m", "decimal", None, "nowhere")])
+
+
+def test_numbers_are_read_where_limits_are_compared_only(spark):
+    rows = [(f"n:{i}", p, o, k, None) for i in range(3) for p, o, k in (
+        ("p:is", "k", "iri"), ("p:size", str(i), "literal"), ("p:code", str(i), "literal"))]
+    graph = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, datatype string")
+    some = [
+        shapes.Shape("large", "sh:Info", "above 1", "min_exclusive", ("p:size",), "p:is", lo="1"),
+        shapes.Shape("below", "sh:Info", "below size", "less_than", ("p:code",), "p:is", other=("p:size",)),
+    ]
+    compiled = shapes._Compiled(graph, some, {})
+    read = compiled.reached.where("number is not null").select("at").distinct().collect()
+    assert [r["at"] for r in read] == [compiled.at[("p:size",)]]
+    found = {(r["focusNode"], r["rule"], r["value"]) for r in shapes.validate_graph(graph, some, {}).collect()}
+    assert found == {(f"n:{i}", "below", str(i)) for i in range(3)} | {(f"n:{i}", "large", str(i)) for i in range(2)}
