@@ -351,3 +351,32 @@ def test_hashes_are_ordered_by_all_their_bits_and_then_by_place():
         rng.choice(few, 5000) ^ rng.integers(0, 4, 5000, dtype=np.uint64),
     ):
         assert sub._order(hashes).tolist() == np.argsort(hashes, kind="stable").tolist()
+
+
+@pytest.mark.parametrize("copies, parts", [(2, 1), (2, 8), (4, 8)])
+def test_edited_passages_behind_earlier_parts(spark, copies, parts):
+    docs = []
+    for t in range(30):
+        rng = random.Random(500 + t)
+        passage = words(rng, 90)
+        held = [passage[:30], passage[30:60], passage[60:]]
+        # No two copies share a run of fifty words.
+        held += [replaced(rng, passage, set(range(2 * n, 90, 12))) for n in range(copies)]
+        docs += [(10 * t + i, " ".join(words(rng, 50) + p + words(rng, 50))) for i, p in enumerate(held)]
+    found = sub.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts))
+    links = {(r["doc_id"], r["other_doc_id"]) for r in found.collect()}
+    assert all(d // 10 == o // 10 and o % 10 >= 3 for d, o in links)
+    linked = {d for link in links for d in link}
+    assert sum(10 * t + 3 + n in linked for t in range(30) for n in range(copies)) >= 29 * copies
+
+
+def test_a_line_that_all_documents_have_makes_no_seeds_of_two(spark):
+    rng = random.Random(3)
+    line = words(rng, 30)
+    docs = [(i, " ".join(words(rng, 80) + line + words(rng, 80))) for i in range(60)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = rows.selectExpr("doc_id", "cast(text as binary) as text")
+    first = sub.stored(sub._aligned(sub._matches(sub.in_arrow(rows, sub._collect_seeds, sub._SEEDS)), rows), "a")
+    assert first.where("seed is null").count() == 0
+    assert first.where("seed is not null").select("doc_id").distinct().count() == 60
+    assert sub._left_over(first).count() == 0
